@@ -12,6 +12,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip_digests
+
+    return round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
