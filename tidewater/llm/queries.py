@@ -27,6 +27,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_count import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
