@@ -33,6 +33,41 @@ def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+def _op10_sql() -> str:
+    from .license_scan import PHRASES, TEMPLATES, THRESHOLD, template_plans
+
+    sets = ", ".join(f"('{n}', {sorted(set(t.split(' ')))!r}, {template_plans({n: t}, {}, THRESHOLD)[n][1]})" for n, t in TEMPLATES.items())
+    phrases = ", ".join(f"('{p}', '{label}', {p.split(' ')!r})" for p, label in PHRASES.items())
+    low, word = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+WITH d AS (SELECT doc_id, {low} AS low, regexp_extract_all({low}, '{word}') AS w FROM documents),
+phrases(phrase, label, p) AS (VALUES {phrases}),
+templates(template, t, need) AS (VALUES {sets}),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS pos
+  FROM d, phrases WHERE contains(low, split_part(phrase, ' ', 1))),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels FROM places GROUP BY doc_id),
+blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[\n\r]+')), '{word}')) AS b FROM d),
+more AS (
+  SELECT doc_id, list_distinct(list(template)) AS labels, max(len(list_intersect(b, t)) / len(t)) AS score
+  FROM blocks, templates WHERE len(list_intersect(b, t)) >= need GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, more.labels))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(more.score, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""
+
+
+OP10_SQL = _op10_sql()
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
