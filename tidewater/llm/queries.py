@@ -33,6 +33,80 @@ def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_reputation import judge
+
+    outcomes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page"), F.col("quality").alias("good"))
+    judged = judge(_table(spark, sf_dir, "pages"), outcomes)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n_labelled", F.col("bound").cast("decimal(9,6)").alias("bound"))
+
+
+def _op3_sql() -> str:
+    from .url_reputation import CUTOFF, LOOSEST, RULES, TIGHTEST, TWO_LABEL_SUFFIXES, Z
+
+    def fits(rule: str) -> str:
+        domain, _, rest = rule.partition("/")
+        return f"(host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '/{rest}')"
+
+    longest = sorted(RULES, key=lambda r: -len(r[1]))
+    rule = " ".join(f"WHEN {fits(r)} THEN '{r}'" for _, r in longest)
+    verdict = " ".join(f"WHEN rule = '{r}' THEN '{v}'" for v, r in longest)
+    tail = lambda n: f"array_to_string(string_split(host, '.')[-{n}:], '.')"
+    strength = lambda t: f"(SELECT 1 / least(greatest(coalesce((sum(pow(k - n * m, 2) / (m * (1 - m))) - sum(n)) / nullif(sum(n * (n - 1)), 0), {LOOSEST}), {TIGHTEST}), {LOOSEST}) - 1 AS s FROM {t} WHERE n > 0)"
+    return f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+best AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+h0 AS (
+  SELECT host, count(good)::BIGINT AS n, coalesce(sum((good > 0)::INT), 0)::BIGINT AS k,
+         CASE WHEN {tail(2)} IN {TWO_LABEL_SUFFIXES} THEN {tail(3)} ELSE {tail(2)} END AS domain,
+         CASE WHEN {tail(2)} IN {TWO_LABEL_SUFFIXES} THEN {tail(2)} ELSE {tail(1)} END AS suffix
+  FROM p LEFT JOIN best ON page_id = doc_id GROUP BY host),
+d0 AS (SELECT domain, suffix, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k FROM h0 GROUP BY ALL),
+s1 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM d0) AS m FROM d0 GROUP BY suffix),
+s2 AS (SELECT suffix, (m * s + k) / (n + s) AS m FROM s1, {strength("s1")}),
+d1 AS (SELECT d0.*, m FROM d0 JOIN s2 USING (suffix)),
+d2 AS (SELECT domain, (m * s + k) / (n + s) AS m FROM d1, {strength("d1")}),
+h1 AS (SELECT host, n, k, m FROM h0 JOIN d2 USING (domain)),
+h2 AS (SELECT host, n, s, (m * s + k) / (n + s) AS mean FROM h1, {strength("h1")}),
+h3 AS (SELECT host, n, mean - {Z} * sqrt(mean * (1 - mean) / (n + s + 1)) AS bound FROM h2),
+r AS (SELECT page_id, host, path, CASE {rule} END AS rule FROM p)
+SELECT page_id, r.host, path, rule,
+       CASE {verdict} WHEN bound >= {CUTOFF} THEN 'allow' ELSE 'block' END AS verdict, n AS n_labelled, bound::DECIMAL(9, 6) AS bound
+FROM r JOIN h3 ON r.host = h3.host
+"""
+
+
+OP3_SQL = _op3_sql()
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import PhraseIndex, items_digest
+
+    found = PhraseIndex(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).report()
+    n_items = F.coalesce(F.size(F.col("items")), F.lit(0))
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_words", "n_hit", F.when(n_items > 0, n_items).otherwise(0).cast("long").alias("n_items"), items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+OP4_SQL = r"""
+WITH low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, array_to_string(w[i + 1:i + 10], ' ') AS win, least(len(w), 10) AS size FROM items, unnest(range(greatest(len(w) - 10, 0) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM wins),
+runs AS (SELECT doc_id, i AS start, size, array_to_string(w[i + 1:i + size], ' ') AS win FROM low, sizes, unnest(range(greatest(len(w) - size + 1, 0))) AS t(i)),
+found AS (SELECT doc_id, item_id, start, r.size FROM runs r JOIN wins USING (win, size)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + size)) AS pos FROM found) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan
 
