@@ -27,6 +27,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import NearDuplicates
+
+    found = NearDuplicates(_table(spark, sf_dir, "documents"), words=2).components()
+    return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("doc").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .prefix_count import token_counts
 
