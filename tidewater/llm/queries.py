@@ -149,6 +149,21 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 OP10_SQL = _op10_sql()
 
 
+def op5_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document that loses sentences; documents that lose none have no row."""
+    from .span_dedup import repeated_sentences
+
+    found = repeated_sentences(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_sentences"), F.size("removed").alias("n_removed"), F.col("removed").alias("removed_sentences"), F.col("origins").alias("origin_doc_ids"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard
+
+    placed = shard(_table(spark, sf_dir, "documents"), 8)
+    return placed.select(F.col("doc").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
