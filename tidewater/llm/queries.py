@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,23 @@ def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows that never train: a fifth, by the checksum of the id as text."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, toxic_labels(spark, sf_dir)))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_reputation import judge
 
