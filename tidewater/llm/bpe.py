@@ -31,6 +31,8 @@ from .pretoken import Splitter, Vocabulary, chunks, distinct_words, gather
 MIN_SHARE = 2.5e-6
 #: Longer words are left to merging.
 MAX_WORD_BYTES = 32
+#: Merged words a worker remembers; beyond, it starts afresh. Bounds memory, never results.
+REMEMBERED = 300_000
 
 
 class Lexicon:
@@ -165,7 +167,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.splitter = Splitter(vocabulary)
-        self.special = {s.encode(): [i] for s, i in vocabulary.special.items()}
+        self.merged = {s.encode(): [i] for s, i in vocabulary.special.items()}
         self.token_bytes = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
         self.token_lengths = np.array([len(t) for t in vocabulary.tokens], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
@@ -176,11 +178,7 @@ class Encoder:
         found = self.lexicon.find(data, offsets)
         first, ids = np.asarray(self.lexicon.first), np.asarray(self.lexicon.ids)
         new = np.nonzero(found < 0)[0]
-        raw, merge = data.tobytes(), self.vocabulary.merge
-        merged = []
-        for i in new.tolist():
-            word = raw[offsets[i] : offsets[i + 1]]
-            merged.append(self.special.get(word) or merge(word))
+        merged = self._merged(data.tobytes(), offsets[new].tolist(), offsets[new + 1].tolist())
         known = np.maximum(found, 0)
         starts = first[known]
         lengths = (first[known + 1] if len(first) > 1 else starts) - starts
@@ -192,6 +190,19 @@ class Encoder:
         sums = np.concatenate([[0], np.cumsum(lengths_in_order)])
         return out, sums[ends]
 
+    def _merged(self, raw: bytes, starts: list[int], ends: list[int]) -> list[list[int]]:
+        """The ids of words outside the lexicon. The last ``REMEMBERED`` of them stay at hand, for they come again."""
+        held, merge, out = self.merged, self.vocabulary.merge, []
+        if len(held) > REMEMBERED:
+            held = self.merged = {s.encode(): [i] for s, i in self.vocabulary.special.items()}
+        for a, b in zip(starts, ends, strict=True):
+            word = raw[a:b]
+            ids = held.get(word)
+            if ids is None:
+                ids = held[word] = merge(word)
+            out.append(ids)
+        return out
+
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """The texts of id runs ids[ends[i] : ends[i + 1]]; bytes that aren't UTF-8 become replacement characters."""
         lengths = self.token_lengths[ids]
@@ -262,7 +273,7 @@ class Codec:
         return {"key": self.key, "shared": self.shared}
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Bounds what an Arrow batch of whole texts can hold."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
