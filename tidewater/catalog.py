@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .plans import registry, star  # noqa: F401
+
 
 def queries() -> dict:
-    return {}
+    return {name: q.run for name, q in registry.ALL.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: q.sql for name, q in registry.ALL.items() if q.sql}

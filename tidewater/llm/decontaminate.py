@@ -2,7 +2,7 @@
 
 *Index*: the words of every document are counted as far as tests use them, and for each test window its two rarest words
 are found. The postings of those words (word, document, position) are stored as one sorted table, rarest words with the
-words around them. *Search*: the list of a window's rarest word, each position less the word's offset in the window, is
+words around them; an end mark gives each document's length. *Search*: the list of a window's rarest word, each position less the word's offset in the window, is
 intersected with the adjusted list of its second rarest word; what remains is checked word by word. *Proximity*: the
 same lists, joined on the document with a bounded distance instead of an equal start.
 
@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .text import count_spaced, spaced_words, text_or_empty, word_array
+from .text import spaced_words, text_or_empty, word_array
 
 WINDOW = 10
+#: Stands in the index after the last word of every document, so that its position is the document's length.
+END = ""
 #: Test words are broadcast up to this many (some 60 MB); beyond, joins exchange.
 MOST_BROADCAST = 1_000_000
 
@@ -52,7 +54,9 @@ class PhraseIndex:
         self.windows = of_items.groupBy("win").agg(F.first("terms").alias("terms"))
 
     def _tokens(self) -> DataFrame:
-        return self.docs.select("doc", word_array(F.col("spaced")).alias("words")).select("doc", "words", F.posexplode("words").alias("pos", "term"))
+        """doc, words, pos, term: every word at its place, and at the end of every document the empty word ``END``."""
+        words = F.when(F.col("spaced") == "", F.array(F.lit(END))).otherwise(F.split(F.concat("spaced", F.lit("  ")), "  "))
+        return self.docs.select("doc", words.alias("words")).select("doc", "words", F.posexplode("words").alias("pos", "term"))
 
     def _rarest(self) -> None:
         """For each window: its two rarest words with their offsets, by counts over all documents."""
@@ -70,7 +74,8 @@ class PhraseIndex:
     def _postings(self) -> None:
         ones = self.searched.select(F.col("one.term").alias("term"), F.lit(True).alias("rarest"))
         twos = self.searched.where("two IS NOT NULL").select(F.col("two.term").alias("term"), F.lit(False).alias("rarest"))
-        kept = self.scratch.write(ones.unionByName(twos).groupBy("term").agg(F.max("rarest").alias("rarest")), "kept")
+        ends = self.spark.range(1).select(F.lit(END).alias("term"), F.lit(False).alias("rarest"))
+        kept = self.scratch.write(ones.unionByName(twos).unionByName(ends).groupBy("term").agg(F.max("rarest").alias("rarest")), "kept")
         found = self._tokens().join(_bounded(kept), "term")
         lead = F.greatest(F.col("pos") - (self.window - 1), F.lit(0))
         around = F.when(F.col("rarest"), F.slice("words", lead + 1, F.lit(2 * self.window - 1)))
@@ -113,7 +118,8 @@ class PhraseIndex:
         hits = spans.groupBy("doc").agg(F.size(inside).cast("long").alias("n_hit"))
         items = found.select("doc", "win").distinct().join(self.items, "win").groupBy("doc").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
         both = hits.withColumnRenamed("doc", "doc_h").join(items, F.col("doc_h").eqNullSafe(F.col("doc"))).drop("doc")
-        out = self.docs.select("doc", count_spaced(F.col("spaced")).alias("n_words")).join(both, F.col("doc").eqNullSafe(F.col("doc_h")), "left")
+        lengths = self.postings.where(F.col("term") == END).select("doc", F.col("pos").cast("long").alias("n_words"))
+        out = lengths.join(both, F.col("doc").eqNullSafe(F.col("doc_h")), "left")
         return out.select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "items")
 
 
