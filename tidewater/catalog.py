@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import registry, star  # noqa: F401
+from .plans import histories, registry, star  # noqa: F401
 
 
 def queries() -> dict:

@@ -9,8 +9,9 @@ documents fill in one to three rounds, against one hash for each coordinate in p
 
 *Verification*: links are confirmed on full shingle sets. Documents with equal sets are one node. In a bucket, every
 member is compared with three leaders (least, greatest, least by hash), so a group of thousands of near copies costs a few
-comparisons a member, not one a pair. After the components of these links are known, pairs of a bucket that no comparison
-has joined are compared too, so no link between different components is lost: what remains are members of one bucket in different components.
+comparisons a member, not one a pair. After the components of these links are known, members of one bucket that are still in
+different components are searched by an exact prefix filter on their rarest shingles, so no link between components is
+lost and no bucket is spelled out in pairs.
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and stay; a text of fewer words than
 a shingle has its whole sequence as one shingle; repeated rows have equal sets; rows that share an id are one node, with
@@ -162,7 +163,8 @@ class NearDuplicates:
         each = self.nodes.select(F.explode("bands").alias("band"), "rep", "n")
         me = F.struct("rep", "n")
         lead = each.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.max(me).alias("high"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("any"))
-        return each, lead.where("size > 1")
+        # written, so that the join with it meets two plain exchanges and a hot band can be split
+        return each, self.scratch.write(lead.where("size > 1"), "leaders")
 
     def links(self) -> DataFrame:
         """a, b: links enough to tell every component. Each is confirmed on full sets."""
@@ -176,16 +178,35 @@ class NearDuplicates:
         larger = shared.where(F.col("size") > F.size("leaders")).select("band", "rep", "n")
         larger = larger.join(roots, F.col("rep") == F.col("node"), "left").select("band", "rep", "n", F.coalesce("root", "rep").alias("root"))
         mixed_bands = larger.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two").select("band")
-        open_ = self.scratch.write(larger.join(mixed_bands, "band", "left_semi"), "open")
-        other = open_.select("band", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        rest = open_.join(other, "band").where((F.col("rep") < F.col("b")) & (F.col("root") != F.col("rb")) & _close(F.col("n"), F.col("nb"), self.percent))
-        rest = rest.select(F.col("rep").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        return first.unionByName(self._verified(self.scratch.write(rest, "rest"), "second"))
-
-    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        open_ = self.scratch.write(larger.join(mixed_bands, "band", "left_semi").select(F.col("rep").alias("doc"), "root").distinct(), "open")
+        sets = self._sets(open_.select("doc"), "second")
+        rest = self._prefix_pairs(sets, open_).join(pairs, ["a", "b"], "left_anti")
+        return first.unionByName(self._verified(self.scratch.write(rest, "rest"), "second", sets))
+
+    def _prefix_pairs(self, sets: DataFrame, open_: DataFrame) -> DataFrame:
+        """a, b: every pair of open nodes of different components that can be similar enough, by prefix filtering.
+
+        With shingles in one order, rarest first, two sets as similar as asked share one of the first n - ceil(share n) + 1 shingles of
+        each. Members of a hot bucket that differ do so in rare shingles, so they don't meet here. Shingles that only one
+        set has come first and pair nothing, so they are only counted.
+        """
+        each = sets.select("doc", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
+        often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        shared = each.join(often, "shingle").groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - (F.col("n") - F.size("shared"))
+        heads = shared.withColumn("take", prefix.cast("int")).where("take > 0").select("doc", "n", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s"))
+        heads = self.scratch.write(heads.join(open_, "doc").select(F.col("s.shingle").alias("shingle"), "doc", "n", "root"), "heads")
+        other = heads.select("shingle", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+        met = heads.join(other, "shingle").where((F.col("doc") < F.col("b")) & (F.col("root") != F.col("rb")) & _close(F.col("n"), F.col("nb"), self.percent))
+        return met.select(F.col("doc").alias("a"), "b").distinct()
+
+    def _sets(self, ids: DataFrame, name: str) -> DataFrame:
+        return self.scratch.write(set_table(self.docs, ids, self.words, self.id_col, self.text_col), f"{name}-sets")
+
+    def _verified(self, pairs: DataFrame, name: str, sets: DataFrame | None = None) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-        sets = self.scratch.write(set_table(self.docs, ids, self.words, self.id_col, self.text_col), f"{name}-sets")
+        if sets is None:
+            sets = self._sets(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), name)
         left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
         right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
         both = pairs.join(left, "a").join(right, "b")

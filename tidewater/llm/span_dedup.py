@@ -84,6 +84,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = scratch.write(run_table(docs, id_col, text_col, least_sentences, least_words), "runs")
     place = F.struct("doc", "first")
     firsts = table.groupBy("hash").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times")).where("times > 1").select(F.col("hash").alias("same"), "origin")
+    firsts = scratch.write(firsts, "firsts")  # so that the join meets two plain exchanges and a hot run can be split
     found = table.join(firsts, F.col("hash") == F.col("same")).where(~F.struct("doc", "first").eqNullSafe(F.col("origin")))
     return found.select("doc", "n", "first", "last", F.col("origin.doc").alias("origin"), F.col("origin.first").alias("origin_first"))
 
