@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import histories, registry, star  # noqa: F401
+from .plans import gates, histories, increments, registry, rules, star, storage  # noqa: F401
 
 
 def queries() -> dict:

@@ -7,10 +7,10 @@ import json
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.control import read_json, write_json
+from ..sources.control import ControlFiles, LocalFiles
 
 
 class DriftError(RuntimeError):
@@ -34,15 +34,14 @@ def classify(baseline: dict[str, str], observed: dict[str, str]) -> tuple[str, d
 
 
 class DriftRegistry:
-    def __init__(self, root: str | Path):
-        self.root = Path(root)
+    """``spark``: keeps the files where Spark's file systems reach; without it, in a local folder."""
 
-    def _path(self, kind: str, name: str) -> Path:
-        return self.root / kind / f"{name}.json"
+    def __init__(self, root: str | Path, spark: SparkSession | None = None):
+        self.files = ControlFiles(str(root), spark) if spark else LocalFiles(root)
 
     def baseline(self, entity: str) -> dict | None:
         """The accepted baseline; a bare {column: type} file of old is read as version 1."""
-        found = read_json(self._path("baselines", entity))
+        found = self.files.read(f"baselines/{entity}")
         if found is not None and "schema" not in found:
             found = {"entity": entity, "version": 1, "schema": found, "columns": list(found), "schema_hash": schema_hash(found)}
         return found
@@ -55,7 +54,7 @@ class DriftRegistry:
 
     def _accept(self, entity: str, version: int, schema: dict, columns: list[str], by: str, reason: str, source: str) -> dict:
         value = {"entity": entity, "version": version, "schema": schema, "columns": list(columns), "schema_hash": schema_hash(schema), "accepted_at": datetime.now(timezone.utc).isoformat(), "accepted_by": by, "reason": reason, "source": source}
-        write_json(self._path("baselines", entity), value)
+        self.files.write(f"baselines/{entity}", value)
         return value
 
     def evaluate(self, entity: str, df: DataFrame, additive_allowed: bool = True) -> DataFrame:
@@ -74,13 +73,13 @@ class DriftRegistry:
     def _event(self, entity: str, base: dict, observed: dict, columns: list[str], kind: str, diff: dict) -> str:
         new = schema_hash(observed)
         event = hashlib.sha256(f"{entity}|{base['schema_hash']}|{new}".encode()).hexdigest()[:24]
-        if read_json(self._path("events", event)) is None:
-            write_json(self._path("events", event), {"event": event, "entity": entity, "kind": kind, "diff": diff, "baseline_hash": base["schema_hash"], "observed_hash": new, "observed": observed, "columns": columns, "detected_at": datetime.now(timezone.utc).isoformat()})
+        if self.files.read(f"events/{event}") is None:
+            self.files.write(f"events/{event}", {"event": event, "entity": entity, "kind": kind, "diff": diff, "baseline_hash": base["schema_hash"], "observed_hash": new, "observed": observed, "columns": columns, "detected_at": datetime.now(timezone.utc).isoformat()})
         return event
 
     def promote(self, event: str, by: str, reason: str, breaking: bool = False) -> dict:
         """Makes an event's schema the baseline; a breaking one only if asked for, and only on the baseline it was seen against."""
-        found = read_json(self._path("events", event))
+        found = self.files.read(f"events/{event}")
         if found is None:
             raise DriftError(f"event {event} is unknown")
         base = self.baseline(found["entity"])
@@ -90,7 +89,7 @@ class DriftRegistry:
             raise DriftError(f"event {event} was seen against another baseline")
         columns = [*[c for c in base["columns"] if c in found["observed"]], *[c for c in found["columns"] if c not in base["columns"]]]
         value = self._accept(found["entity"], base["version"] + 1, found["observed"], columns, by, reason, event)
-        write_json(self._path("promotions", event), {"event": event, "by": by, "reason": reason, "version": value["version"]})
+        self.files.write(f"promotions/{event}", {"event": event, "by": by, "reason": reason, "version": value["version"]})
         return value
 
     def audit(self, tables: dict[str, DataFrame]) -> DataFrame:

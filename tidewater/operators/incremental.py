@@ -193,12 +193,17 @@ def merge_backfill(daily: DataFrame, backfill: DataFrame, keys: list[str], day_c
     return daily.withColumn("origin", F.lit("daily")).unionByName(rest.withColumn("origin", F.lit("backfill")), allowMissingColumns=True)
 
 
+def newest_snapshot(df: DataFrame, day_column: str) -> DataFrame:
+    """The rows of the last day."""
+    newest = df.agg(F.max(day_column).alias("_day"))
+    return df.join(F.broadcast(newest), F.col(day_column) == F.col("_day"), "left_semi")  # broadcast: one row
+
+
 def overwrite_references(tables: dict[str, VersionedTable], raw: dict[str, DataFrame], drift: DriftRegistry, day_column: str, keys: dict[str, list[str]]) -> None:
     """Reference tables from their latest snapshot. All schemas are judged before the first is written, so one drift stops all."""
     ready = {}
     for name, df in raw.items():
-        newest = df.agg(F.max(day_column).alias("_day"))
-        ready[name] = drift.evaluate(name, df.join(F.broadcast(newest), F.col(day_column) == F.col("_day"), "left_semi"))
+        ready[name] = drift.evaluate(name, newest_snapshot(df, day_column))
     for name, df in ready.items():
         tables[name].overwrite(latest(df, keys[name], day_column))
 

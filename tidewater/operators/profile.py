@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,6 +57,19 @@ def day_deltas(snapshots: DataFrame, key: str, day: str, payload: Column) -> Dat
     return here.join(gone, F.col("number") == F.col("_g"), "left").join(days, "number").select(day, "added", "unchanged", "changed", F.coalesce("missing", F.lit(0)).cast("long").alias("missing"))
 
 
+def key_deltas(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: keys missing in ``before``, extra in it, with changed and with the same payload. Both have unique keys."""
+    values = [c for c in before.columns if c not in keys]
+    a = before.select(*[F.col(k).alias(f"_{k}") for k in keys], hashed(*values).alias("_a"))
+    b = after.select(*keys, hashed(*values).alias("_b"))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    both = b.join(a, functools.reduce(lambda x, y: x & y, on), "full_outer")
+    return both.agg(
+        F.count_if(F.col("_a").isNull()).alias("missing"), F.count_if(F.col("_b").isNull()).alias("extra"),
+        F.count_if(F.coalesce(F.col("_a") != F.col("_b"), F.lit(False))).alias("changed"), F.count_if(F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))).alias("same"),
+    )
+
+
 def snapshot_profile(snapshots: DataFrame, key: str, day: str, payload: Column) -> DataFrame:
     """One row: days, rows, keys, null keys, repeated keys in a day, and of these the ones that conflict."""
     per = snapshots.groupBy(key, day).agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(payload).alias("_p"))

@@ -68,6 +68,15 @@ def reconcile(eligible: DataFrame, built: DataFrame, keys: Sequence[str]) -> Dat
     return named("missing", eligible.join(built, list(keys), "left_anti")).unionByName(named("extra", built.join(eligible, list(keys), "left_anti")))
 
 
+def orphans(children: DataFrame, column: str, parents: DataFrame, raw_parents: DataFrame, parent_column: str) -> DataFrame:
+    """cause, lines, parents: children without a parent, by whether the raw layer has the parent (``rejected``) or not (``not_in_source``)."""
+    keys = lambda df, name: df.select(F.col(parent_column).alias(name)).distinct()
+    lost = children.where(F.col(column).isNotNull()).join(keys(parents, "_p"), F.col(column) == F.col("_p"), "left_anti")
+    marked = lost.join(keys(raw_parents, "_r"), F.col(column) == F.col("_r"), "left")
+    cause = F.when(F.col("_r").isNull(), "not_in_source").otherwise("rejected")
+    return marked.groupBy(cause.alias("cause")).agg(F.count(F.lit(1)).alias("lines"), F.countDistinct(column).alias("parents"))
+
+
 def one_current(history: DataFrame, key: str) -> DataFrame:
     active = history.groupBy(key).agg(F.count_if(F.col("is_current")).alias("n"))
     return named("at_most_one_current", active.where("n > 1")).unionByName(as_checks(history, {"is_current_known": F.col("is_current").isNull()}))

@@ -21,6 +21,52 @@ def write_json(path: str | Path, value: dict) -> None:
     os.replace(temporary, p)
 
 
+class ControlFiles:
+    """JSON files under a folder of any Hadoop file system: the control root can stand beside the tables."""
+
+    def __init__(self, root: str, spark):
+        self.root, self._jvm, self._conf = str(root).rstrip("/"), spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, name: str):
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}.json")
+        return path, path.getFileSystem(self._conf)
+
+    def read(self, name: str) -> dict | None:
+        path, fs = self._at(name)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def write(self, name: str, value: dict) -> None:
+        """Written aside and renamed; readers never see half a file."""
+        path, fs = self._at(name)
+        aside = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}.json.new")
+        out = fs.create(aside, True)
+        out.write(bytearray(json.dumps(value, indent=1, sort_keys=True, default=str).encode()))
+        out.close()
+        if fs.exists(path):
+            fs.delete(path, False)
+        if not fs.rename(aside, path):
+            raise OSError(f"{path} can't be replaced")
+
+
+class LocalFiles:
+    """The same over local paths."""
+
+    def __init__(self, root: str | Path):
+        self.root = Path(root)
+
+    def read(self, name: str) -> dict | None:
+        return read_json(self.root / f"{name}.json")
+
+    def write(self, name: str, value: dict) -> None:
+        write_json(self.root / f"{name}.json", value)
+
+
 def listing(root: str | Path) -> dict[str, int]:
     """Relative path to size of every file under ``root``."""
     root = Path(root)
