@@ -100,6 +100,14 @@ def raw_gate(df: DataFrame, key: str, day_column: str, reference, most_days: int
     return union([recency, as_checks(df, {"null_key": F.col(key).isNull(), "null_day": F.col(day_column).isNull()}), named("repeated_in_last_day", repeated)])
 
 
+def allowlisted(df: DataFrame, columns: Sequence[str], forbidden: Sequence[str] = ()) -> DataFrame:
+    """The listed columns alone; a list that names a forbidden or an absent one raises."""
+    wrong = sorted({*columns} & {*forbidden}) + [c for c in columns if c not in df.columns]
+    if wrong:
+        raise GateError(f"columns {wrong} can't be taken")
+    return df.select(*columns)
+
+
 def enforce(checks: DataFrame) -> int:
     """Raises with every failed check, else the number of checks."""
     rows = checks.collect()

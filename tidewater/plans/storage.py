@@ -44,7 +44,7 @@ def environment_view_scan(r: Relations) -> DataFrame:
     return raw.environment_view(r.table("events"), f"env_events_{uuid.uuid4().hex[:8]}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("versioned_table_state", "S9 S10 S11 S16 S17 S18 S19 S20 S22 S23 S24 S25 S26", f"""WITH {SQL_USER_SNAPSHOTS}
+@query("versioned_table_state", "S9 S10 S11 S12 S16 S17 S18 S19 S20 S22 S23 S24 S25 S26", f"""WITH {SQL_USER_SNAPSHOTS}
 SELECT 'overwritten' AS step, count(*)::BIGINT AS n, sum(events)::BIGINT AS events FROM usnap WHERE user_id % 2 = 0
 UNION ALL SELECT 'appended', count(*), sum(events)::BIGINT FROM usnap
 UNION ALL SELECT 'updated', count(*), sum(CASE WHEN kind = 'click' THEN 0 ELSE events END)::BIGINT FROM usnap
