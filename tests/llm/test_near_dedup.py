@@ -80,3 +80,22 @@ def test_null_and_repeated_ids_and_empty_table(spark, make_docs):
     got = sorted((r["doc"] or -1, r["component"] or -1) for r in nd.NearDuplicates(docs, words=2).components().collect())
     assert got == [(-1, -1), (1, 1), (1, 1), (2, 1)]
     assert nd.NearDuplicates(make_docs([]), words=2).components().count() == 0
+
+
+def test_members_that_no_leader_joins_are_searched(spark, make_docs):
+    """Families around a text that is never a leader, copies of copies, and pairs just under and over the limit."""
+    pick = random.Random(12)
+    rows, vocabulary = {}, [f"v{i}" for i in range(3000)]
+    for family in range(4):
+        base = [pick.choice(vocabulary) for _ in range(pick.choice([60, 110]))]
+        for member in range(45):
+            copy = list(base)
+            for _ in range(pick.randrange(1, 1 + len(base) // 11)):
+                at = pick.randrange(len(copy))
+                copy[at : at + 1] = [pick.choice(vocabulary)] if pick.random() < 0.7 else []
+            if member % 9 == 0:
+                base = copy
+            rows[1000 * family + member * 7 % 45] = " ".join(copy)
+        rows[1000 * family + 500] = " ".join(base)
+    found = nd.NearDuplicates(make_docs(rows), words=2)
+    assert {r["doc"]: (r["n"], r["component"]) for r in found.components().collect()} == brute(rows, 2)

@@ -10,8 +10,8 @@ documents fill in one to three rounds, against one hash for each coordinate in p
 *Verification*: links are confirmed on full shingle sets. Documents with equal sets are one node. In a bucket, every
 member is compared with three leaders (least, greatest, least by hash), so a group of thousands of near copies costs a few
 comparisons a member, not one a pair. After the components of these links are known, members of one bucket that are still in
-different components are searched by an exact prefix filter on their rarest shingles, so no link between components is
-lost and no bucket is spelled out in pairs.
+different components are told by their differences from what most of the bucket has in common, and an exact prefix filter on the
+rarest differences finds every pair that can be a link. No link between components is lost and no bucket is spelled out in pairs.
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and stay; a text of fewer words than
 a shingle has its whole sequence as one shingle; repeated rows have equal sets; rows that share an id are one node, with
@@ -175,30 +175,55 @@ class NearDuplicates:
         first = self._verified(pairs, "first")
         roots = connected_components(first, self.scratch, "first-roots")
         # bands of up to three nodes have had all their pairs compared; of the others, those in one component need no more
-        larger = shared.where(F.col("size") > F.size("leaders")).select("band", "rep", "n")
-        larger = larger.join(roots, F.col("rep") == F.col("node"), "left").select("band", "rep", "n", F.coalesce("root", "rep").alias("root"))
+        larger = shared.where(F.col("size") > F.size("leaders")).select("band", F.col("leaders")[0]["rep"].alias("grp"), "rep", "n")
+        larger = larger.join(roots, F.col("rep") == F.col("node"), "left").select("band", "grp", "rep", "n", F.coalesce("root", "rep").alias("root"))
         mixed_bands = larger.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two").select("band")
-        open_ = self.scratch.write(larger.join(mixed_bands, "band", "left_semi").select(F.col("rep").alias("doc"), "root").distinct(), "open")
-        sets = self._sets(open_.select("doc"), "second")
-        rest = self._prefix_pairs(sets, open_).join(pairs, ["a", "b"], "left_anti")
+        open_ = self.scratch.write(larger.join(mixed_bands, "band", "left_semi").select("grp", "rep", "n", "root").distinct(), "open")
+        sets = self._sets(open_.select(F.col("rep").alias("doc")).distinct(), "second")
+        rest = self._open_pairs(open_, sets).distinct().join(pairs, ["a", "b"], "left_anti")
         return first.unionByName(self._verified(self.scratch.write(rest, "rest"), "second", sets))
 
-    def _prefix_pairs(self, sets: DataFrame, open_: DataFrame) -> DataFrame:
-        """a, b: every pair of open nodes of different components that can be similar enough, by prefix filtering.
+    def _open_pairs(self, open_: DataFrame, sets: DataFrame) -> DataFrame:
+        """a, b: every pair of a group (the bands that share a least node) that can be similar enough without being joined yet.
 
-        With shingles in one order, rarest first, two sets as similar as asked share one of the first n - ceil(share n) + 1 shingles of
-        each. Members of a hot bucket that differ do so in rare shingles, so they don't meet here. Shingles that only one
-        set has come first and pair nothing, so they are only counted.
+        Each set is told by its difference D from the group's reference, the shingles that most of its members have. Two sets of
+        n and m shingles are linked exactly if their own difference, D xor D', has at most c (n + m) shingles, c = (100 - percent) /
+        (100 + percent). With s = |D| - c n: two sets with s + s' <= 0 are linked for certain, so all members that this joins
+        with the one of least s need that one link only. All other links need |D and D'| >= (s + s') / 2 > 0, which is a set
+        overlap, searched by an exact prefix filter on the rarest differences with a positional filter in the join. What
+        the members of a large group of near copies have in common isn't part of any D, so it pairs nothing. (Below, s is times 100 + percent.)
         """
-        each = sets.select("doc", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
-        often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-        shared = each.join(often, "shingle").groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
-        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - (F.col("n") - F.size("shared"))
-        heads = shared.withColumn("take", prefix.cast("int")).where("take > 0").select("doc", "n", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s"))
-        heads = self.scratch.write(heads.join(open_, "doc").select(F.col("s.shingle").alias("shingle"), "doc", "n", "root"), "heads")
-        other = heads.select("shingle", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        met = heads.join(other, "shingle").where((F.col("doc") < F.col("b")) & (F.col("root") != F.col("rb")) & _close(F.col("n"), F.col("nb"), self.percent))
-        return met.select(F.col("doc").alias("a"), "b").distinct()
+        up, down = 100 + self.percent, 100 - self.percent
+        each = open_.join(sets, F.col("rep") == F.col("doc")).select("grp", F.explode("shingles").alias("e"))
+        size = open_.groupBy("grp").agg(F.count(F.lit(1)).alias("m"))
+        most = each.groupBy("grp", "e").agg(F.count(F.lit(1)).alias("c")).join(size, "grp").where(F.col("c") * 2 > F.col("m"))
+        # at most twice the mean of the members' sets
+        reference = self.scratch.write(most.groupBy("grp").agg(F.collect_list("e").alias("ref")), "reference")
+        known = open_.join(sets, F.col("rep") == F.col("doc")).join(reference, "grp", "left").withColumn("ref", F.coalesce("ref", F.array().cast("array<long>")))
+        diff = known.select("grp", "rep", "n", "root", F.concat(F.array_except("shingles", "ref"), F.array_except("ref", "shingles")).alias("diff"))
+        diff = self.scratch.write(diff.withColumn("d", F.size("diff").cast("long")).withColumn("s", F.col("d") * up - F.col("n") * down), "diff")
+        star = self.scratch.write(diff.groupBy("grp").agg(F.min(F.struct("s", "rep", "root")).alias("star"), F.max("s").alias("top")), "star")
+        placed = diff.join(star, "grp").withColumn("far", F.col("s") + F.col("star.s") > 0)
+        near = placed.where(~F.col("far") & (F.col("root") != F.col("star.root"))).select(F.least("rep", "star.rep").alias("a"), F.greatest("rep", "star.rep").alias("b"))
+
+        label = F.when(F.col("far"), F.col("root")).otherwise(F.col("star.root"))
+        least = lambda x: F.greatest(F.ceil(x / (2 * up)), F.lit(1)).cast("long")
+        # of two sets the one of greater s asks, the other is found
+        asks = F.when(F.col("far"), F.col("d") - least(F.col("s") + F.col("star.s")))
+        found = F.col("d") - least(F.greatest(F.col("s") * 2, F.col("s") - F.col("star.s")))
+        searched = placed.where(F.col("top") + F.col("star.s") > 0).select("grp", "rep", "n", label.alias("label"), "d", "s", asks.alias("asks"), found.alias("found"), F.explode("diff").alias("e"))
+        often = searched.groupBy("grp", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        # differences that only one member has come first; they pair nothing and are only counted
+        shared = searched.join(often, ["grp", "e"]).groupBy("grp", "rep", "n", "label", "d", "s", "asks", "found").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("shared"))
+        heads = shared.select("grp", "rep", "n", "label", "d", "s", "asks", "found", F.posexplode("shared").alias("i", "x"), (F.col("d") - F.size("shared")).alias("alone"))
+        heads = heads.select("grp", F.col("x.e").alias("e"), "rep", "n", "label", "d", "s", (F.col("alone") + F.col("i")).alias("at"), "asks", "found").where((F.col("at") <= F.col("asks")) | (F.col("at") <= F.col("found")))
+        heads = self.scratch.write(heads, "heads")
+        one = heads.where(F.col("at") <= F.col("asks")).drop("asks", "found")
+        two = heads.where(F.col("at") <= F.col("found")).select("grp", "e", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label", "d", "s", "at")])
+        first_asks = (F.col("s") > F.col("s2")) | ((F.col("s") == F.col("s2")) & (F.col("rep") > F.col("rep2")))
+        enough = F.least(F.col("d") - F.col("at"), F.col("d2") - F.col("at2")) * (2 * up) >= F.col("s") + F.col("s2")
+        met = one.join(two, ["grp", "e"]).where((F.col("label") != F.col("label2")) & first_asks & enough & _close(F.col("n"), F.col("n2"), self.percent))
+        return near.unionByName(met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
 
     def _sets(self, ids: DataFrame, name: str) -> DataFrame:
         return self.scratch.write(set_table(self.docs, ids, self.words, self.id_col, self.text_col), f"{name}-sets")
