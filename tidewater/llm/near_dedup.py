@@ -36,6 +36,8 @@ from .scratch import Scratch
 BANDS, ROWS = 42, 6
 COORDINATES = BANDS * ROWS
 WORDS, PERCENT = 5, 80
+#: Ids are broadcast up to this many (some 30 MB).
+MOST_BROADCAST = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,6 +144,8 @@ def set_table(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc
 
     small_batches(docs.sparkSession)
     source, kind = _ids(docs, id_col, text_col)
+    # a bounded number of ids goes to the texts; beyond it, both sides are exchanged
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     return source.join(wanted, "doc", "left_semi").mapInArrow(run, f"doc {kind}, shingles array<long>")
 
 
@@ -158,18 +162,24 @@ class NearDuplicates:
         known = self.sketch.where("n > 0 AND doc IS NOT NULL")
         self.nodes = self.scratch.write(known.groupBy("digest").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
 
-    def _buckets(self) -> tuple[DataFrame, DataFrame]:
-        """band, rep, n of every node in every band; and the leaders of bands that hold more than one node."""
+    def _shared_bands(self) -> DataFrame:
+        """band, rep, n, size, leaders of every node in every band that holds more than one node.
+
+        Bands of one node, nearly all, are only counted: one number a band is exchanged for them.
+        """
         each = self.nodes.select(F.explode("bands").alias("band"), "rep", "n")
-        me = F.struct("rep", "n")
-        lead = each.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.max(me).alias("high"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("any"))
+        sizes = each.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         # written, so that the join with it meets two plain exchanges and a hot band can be split
-        return each, self.scratch.write(lead.where("size > 1"), "leaders")
+        held = self.scratch.write(each.join(self.scratch.write(sizes, "sizes"), "band").select("band", "rep", "n", "size"), "held")
+        me = F.struct("rep", "n")
+        lead = held.groupBy("band").agg(F.min(me).alias("low"), F.max(me).alias("high"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("any"))
+        some = F.array_distinct(F.array("low", "high", F.struct(F.col("any.rep").alias("rep"), F.col("any.n").alias("n"))))
+        lead = self.scratch.write(lead.select("band", some.alias("leaders")), "leaders")
+        return self.scratch.write(held.join(lead, "band").select("band", "rep", "n", "size", "leaders"), "shared")
 
     def links(self) -> DataFrame:
         """a, b: links enough to tell every component. Each is confirmed on full sets."""
-        each, lead = self._buckets()
-        shared = self.scratch.write(each.join(lead, "band").select("band", "rep", "n", "size", F.array_distinct(F.array("low", "high", F.struct(F.col("any.rep").alias("rep"), F.col("any.n").alias("n")))).alias("leaders")), "shared")
+        shared = self._shared_bands()
         stars = shared.select("rep", "n", F.explode("leaders").alias("to")).where((F.col("rep") != F.col("to.rep")) & _close(F.col("n"), F.col("to.n"), self.percent))
         pairs = self.scratch.write(stars.select(F.least("rep", "to.rep").alias("a"), F.greatest("rep", "to.rep").alias("b")).distinct(), "pairs")
         first = self._verified(pairs, "first")
