@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,21 +11,16 @@ from ..operators.drift import DriftError, DriftRegistry, probe
 from ..operators.incremental import COMMITTED, PENDING, Watermarks, pending_range
 from ..operators.state import changed, latest, multiset_difference, upsert
 from ..sources.store import VersionedTable
-from ..sources.workspace import shared_folder
 from .histories import last_days
 from .registry import query
 from .relations import SQL_LINES, SQL_PARTS, Relations
 from .rules import EVENTS, LINES, NOW, ORDERS, events
 
 
-def _folder(r: Relations, name: str) -> str:
-    return f"{shared_folder(r.spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 @query("drift_registry_audit", "SD1 SD2 SD3 SD4 SD5 SD6 SD7 S14 P4 P5 P6", """SELECT * FROM (VALUES ('additive', 'additive', 1), ('mixed', 'mixed_breaking', 1), ('promoted', 'no_drift', 2), ('removed', 'removed_column', 1), ('same', 'no_drift', 1), ('unknown', 'missing_baseline', NULL), ('widened', 'type_change', 1)) t(entity, state, version)""")
 def drift_registry_audit(r: Relations) -> DataFrame:
     """Every class of drift against accepted baselines; a breaking one is promoted explicitly. Schemas only, no rows are read."""
-    registry, base = DriftRegistry(_folder(r, "drift"), r.spark), events(r)
+    registry, base = DriftRegistry(r.folder("drift"), r.spark), events(r)
     more, less, other = base.withColumn("extra", F.lit(1)), base.drop("amount"), base.withColumn("amount", F.col("amount").cast("string"))
     shapes = {"same": base, "additive": more, "removed": less, "widened": other, "mixed": less.withColumn("extra", F.lit(1)), "promoted": other, "unknown": base}
     for entity in sorted(shapes.keys() - {"unknown"}):
@@ -84,7 +77,7 @@ def largest_orders(r: Relations) -> DataFrame:
 
 @query("environment_gate", "QG15 S8 S27", """SELECT * FROM (VALUES ('canary', 0::BIGINT, true), ('table:no_such_table', 1::BIGINT, false)) t("check", failures, passed)""")
 def environment(r: Relations) -> DataFrame:
-    return quality.environment_gate(r.spark, ["no_such_table"], _folder(r, "canary"))
+    return quality.environment_gate(r.spark, ["no_such_table"], r.folder("canary"))
 
 
 @query("sales_window_replay", "PR15 PR14 INC11 O6", "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right")
@@ -101,7 +94,7 @@ def sales_window_replay(r: Relations) -> DataFrame:
 def watermark_catch_up(r: Relations) -> DataFrame:
     """Two entities, one committed up to the last day and one awaiting validation, and how far each is behind."""
     before, last = last_days(r, 2)
-    marks = Watermarks(VersionedTable(r.spark, _folder(r, "marks")), r.spark)
+    marks = Watermarks(VersionedTable(r.spark, r.folder("marks")), r.spark)
     for entity in ("caught_up", "waiting"):
         marks.seed(entity, before)
         marks.move(entity, COMMITTED, PENDING, before, last)

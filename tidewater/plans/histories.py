@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hashed
 from ..operators import profile
-from ..operators.history import TECHNICAL, apply_snapshot, backfill, change_points, classify_snapshot, invariants, spread_type1
+from ..operators.history import TECHNICAL, apply_snapshot, backfill, change_points, classify_snapshot, invariants, replay_days, spread_type1
 from ..operators.state import duplicates, multiset_difference
+from ..sources.store import VersionedTable
 from .registry import query
 from .relations import PARTS, SQL_PART_SNAPSHOTS, SQL_PARTS, SQL_USER_SNAPSHOTS, SQL_USERS, USERS, Relations
 
@@ -40,12 +41,15 @@ def last_days(r: Relations, n: int) -> list:
 
 @query("scd2_incremental_equals_backfill", "SCD7 SCD8 SCD9 SCD10 SCD12 O6", "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right")
 def scd2_incremental(r: Relations) -> DataFrame:
-    snapshots = r.user_snapshots
-    days = last_days(r, 3)
-    target = backfill(snapshots.where(F.col("day") < F.lit(days[0])), USERS)
-    for day in days:
-        target = apply_snapshot(target, snapshots, USERS, day)
-    return multiset_difference(target, backfill(snapshots, USERS))
+    raw, table = VersionedTable(r.spark, r.folder("snapshots")), VersionedTable(r.spark, r.folder("history"))
+
+    def stored(to: VersionedTable, df: DataFrame) -> DataFrame:
+        return to.read(to.overwrite(df))
+
+    snapshots, days = stored(raw, r.user_snapshots), last_days(r, 3)
+    start = stored(table, backfill(snapshots.where(F.col("day") < F.lit(days[0])), USERS))
+    stepped = replay_days(start, snapshots, USERS, days, lambda df: stored(table, df))
+    return multiset_difference(stepped, backfill(snapshots, USERS))
 
 
 @query("scd2_replay_is_idempotent", "PR14 SCD9 O6", "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right")

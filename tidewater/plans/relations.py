@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import hashed
 from ..functions.typing import money
 from ..operators.history import HistoryPolicy, backfill
+from ..sources.workspace import shared_folder
 
 PARTS = HistoryPolicy("part_id", ("flag", "status"), ("lines",))
 USERS = HistoryPolicy("user_id", ("kind",), ("events",), snapshot="day", initial="first_ts", compare="date")
@@ -59,8 +61,9 @@ class Relations:
     def user_versions(self) -> DataFrame:
         return backfill(self.user_snapshots, USERS).withColumn("version_key", hashed("user_id", "valid_from"))
 
-    def first_day(self, df: DataFrame, column: str):
-        return df.agg(F.min(column).alias("d")).first()["d"]
+    def folder(self, name: str) -> str:
+        """A new folder that the driver and all executors share."""
+        return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def first_by(df: DataFrame, keys: list[str], *order) -> DataFrame:

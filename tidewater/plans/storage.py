@@ -16,24 +16,19 @@ from ..functions.keys import table_checksum
 from ..operators.profile import file_lags
 from ..sources import raw
 from ..sources.store import VersionedTable
-from ..sources.workspace import shared_folder
 from ..streaming.events import as_stream, late_aware_counts, sessions, upsert_stream
 from .histories import last_days
 from .registry import query
 from .relations import SQL_USER_SNAPSHOTS, Relations
 
 
-def _folder(r: Relations, name: str) -> str:
-    return f"{shared_folder(r.spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _days(r: Relations) -> DataFrame:
     return r.user_snapshots.select("user_id", "day", "kind", "events")
 
 
 @query("raw_csv_round_trip", "S1 S7 P1", """SELECT event_id::VARCHAR AS event_id, event_type, props, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events""")
 def raw_csv_round_trip(r: Relations) -> DataFrame:
-    path = _folder(r, "csv")
+    path = r.folder("csv")
     raw.write_raw_csv(r.table("events").select(F.col("event_id").cast("string"), "event_type", "props", F.to_date("ts").alias("ingestion_date")), path, "ingestion_date")
     back = raw.read_raw_csv(r.spark, path, ["event_id", "event_type", "props"])
     return back.select("event_id", "event_type", "props", F.col("ingestion_date").cast("string").alias("day"))
@@ -51,11 +46,11 @@ UNION ALL SELECT 'updated', count(*), sum(CASE WHEN kind = 'click' THEN 0 ELSE e
 UNION ALL SELECT 'deleted', count(*), sum(CASE WHEN kind = 'click' THEN 0 ELSE events END)::BIGINT FROM usnap WHERE kind <> 'view'
 UNION ALL SELECT 'restored', count(*), sum(events)::BIGINT FROM usnap UNION ALL SELECT 'cloned', count(*), sum(events)::BIGINT FROM usnap UNION ALL SELECT 'compacted', count(*), sum(events)::BIGINT FROM usnap UNION ALL SELECT 'truncated', 0, NULL""")
 def versioned_table_state(r: Relations) -> DataFrame:
-    table, days = VersionedTable(r.spark, _folder(r, "table"), ("kind",)), _days(r)
+    table, days = VersionedTable(r.spark, r.folder("table"), ("kind",)), _days(r)
     versions = {"overwritten": table.overwrite(days.where("user_id % 2 = 0")), "appended": table.append(days.where("user_id % 2 <> 0")), "updated": table.update(F.col("kind") == "click", {"events": F.lit(0).cast("long")}), "deleted": table.delete(F.col("kind") == "view")}
     versions["restored"] = table.restore(versions["appended"])
     frames = {name: table.read(v) for name, v in versions.items()}
-    frames["cloned"] = table.clone(_folder(r, "clone")).read()
+    frames["cloned"] = table.clone(r.folder("clone")).read()
     table.compact(["user_id", "day"])
     frames["compacted"] = table.read()
     table.truncate()
@@ -69,7 +64,7 @@ def versioned_table_state(r: Relations) -> DataFrame:
 
 @query("versioned_table_history", "S21 S26 QG14")
 def versioned_table_history(r: Relations) -> DataFrame:
-    table, days = VersionedTable(r.spark, _folder(r, "history")), _days(r)
+    table, days = VersionedTable(r.spark, r.folder("history")), _days(r)
     table.overwrite(days)
     table.append(days)
     table.vacuum(keep_versions=2)
@@ -79,7 +74,7 @@ def versioned_table_history(r: Relations) -> DataFrame:
 @query("partition_pruned_month", "S6 S11 G11", """SELECT month(l_shipdate)::INT AS month, count(*)::BIGINT AS n FROM lineitem WHERE year(l_shipdate) = 1997 AND month(l_shipdate) = 3 GROUP BY 1""")
 def partition_pruned_month(r: Relations) -> DataFrame:
     """A month of a fact that is partitioned by year and month reads that month's files alone."""
-    table = VersionedTable(r.spark, _folder(r, "months"), ("year", "month"))
+    table = VersionedTable(r.spark, r.folder("months"), ("year", "month"))
     when = r.lines.select("order_id", "amount", F.year("shipped").alias("year"), F.month("shipped").alias("month"))
     table.overwrite(when.repartition("year", "month"))
     return table.read().where("year = 1997 AND month = 3").groupBy("month").agg(F.count(F.lit(1)).alias("n"))
@@ -92,7 +87,7 @@ def checksum(r: Relations) -> DataFrame:
 
 @query("file_metadata_scan", "S4 S5 S6 PR8")
 def file_metadata_scan(r: Relations) -> DataFrame:
-    path = _folder(r, "files")
+    path = r.folder("files")
     raw.append_daily_parquet(_days(r).withColumnRenamed("day", "ingestion_date"), path)
     files = raw.file_metadata(r.spark.read.parquet(path), F.to_date("ingestion_date").alias("day"))
     return file_lags(files)
@@ -105,14 +100,14 @@ def fact_cycle(r: Relations) -> DataFrame:
     from .cycle import run_cycle
 
     last = last_days(r, 1)[0]
-    table = run_cycle(r.spark, _folder(r, "cycle"), _days(r), [last - timedelta(days=4), last - timedelta(days=1)])
+    table = run_cycle(r.spark, r.folder("cycle"), _days(r), [last - timedelta(days=4), last - timedelta(days=1)])
     return table.withColumn("day", F.col("day").cast("string"))
 
 
 @query("stream_windowed_counts", "S8", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
 def stream_windowed_counts(r: Relations) -> DataFrame:
     """Daily counts from a stream with a watermark, available-now, against the batch answer."""
-    out = late_aware_counts(as_stream(r.spark, f"{r.sf_dir}/events.parquet", _folder(r, "in")), _folder(r, "counts"))
+    out = late_aware_counts(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in")), r.folder("counts"))
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
@@ -126,6 +121,6 @@ def stream_sessions(r: Relations) -> DataFrame:
 @query("stream_upsert_latest", "INC3 INC10", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
 def stream_upsert_latest(r: Relations) -> DataFrame:
     """The newest event of each user, kept by a stream that merges each batch into a versioned table once."""
-    table = VersionedTable(r.spark, _folder(r, "latest"))
-    upsert_stream(as_stream(r.spark, f"{r.sf_dir}/events.parquet", _folder(r, "in"), files=4), table, ["user_id"], ["ts", "event_id"], _folder(r, "checkpoint"))
+    table = VersionedTable(r.spark, r.folder("latest"))
+    upsert_stream(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in"), files=4), table, ["user_id"], ["ts", "event_id"], r.folder("checkpoint"))
     return table.read().select("user_id", "event_id", "event_type")
