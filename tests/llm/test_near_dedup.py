@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 from tidewater.llm import near_dedup as nd
 from tidewater.llm.components import connected_components
 from tidewater.llm.scratch import Scratch
@@ -99,3 +100,13 @@ def test_members_that_no_leader_joins_are_searched(spark, make_docs):
         rows[1000 * family + 500] = " ".join(base)
     found = nd.NearDuplicates(make_docs(rows), words=2)
     assert {r["doc"]: (r["n"], r["component"]) for r in found.components().collect()} == brute(rows, 2)
+    assert spark.read.parquet(f"{found.scratch.path}/open").count() > 50
+    # with nothing joined before, the search alone finds links enough for every component
+    found = nd.NearDuplicates(make_docs(rows), words=2)
+    group = found.nodes.select(F.lit(0).cast("long").alias("grp"), "rep", "n", F.col("rep").alias("root"))
+    sets = found._sets(group.select(F.col("rep").alias("doc")), "alone")
+    links = found._verified(found._open_pairs(group, sets).distinct(), "alone", sets)
+    roots = {r["node"]: r["root"] for r in connected_components(links, Scratch(spark, "t"), "c").collect()}
+    one = {min(i for i in rows if shingles(rows[i], 2) == shingles(rows[d], 2)) for d in rows}
+    want = brute(rows, 2)
+    assert {d: roots.get(d, d) for d in one} == {d: want[d][1] for d in one} and len(roots) > 20
