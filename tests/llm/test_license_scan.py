@@ -1,5 +1,8 @@
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from tidewater.llm import license_scan as ls
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -40,3 +43,42 @@ def test_empty_table_and_clashing_columns(spark, make_docs):
 def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(None, "cc by"), (1, "cc by"), (1, "cc by")], "doc_id long, text string")
     assert [r["n_base"] for r in ls.scan(docs).collect()] == [1, 1, 1]
+
+
+def blocks(text, span):
+    text = re.sub(r"\r\n?", "\n", text or "")
+    lines, paragraphs = [words(x) for x in text.split("\n")], [[]]
+    for line in lines:
+        if line:
+            paragraphs[-1] += line
+        elif paragraphs[-1]:
+            paragraphs.append([])
+    paragraphs = [p for p in paragraphs if p]
+    if len(paragraphs) > 1:
+        return paragraphs
+    w = words(text)
+    return lines + [w[k : k + 2 * span] for k in range(0, max(len(w) - span, 1), span)] if sum(map(bool, lines)) > 1 else lines
+
+
+def test_wrapped_notices_against_brute_force(spark, make_docs):
+    pick = random.Random(5)
+    wrap = lambda t, n, mark="", end="\n": end.join(mark + " ".join(t.split(" ")[i : i + n]) for i in range(0, len(t.split(" ")), n))
+    mit, bsd = ls.TEMPLATES["mit"], ls.TEMPLATES["bsd"]
+    foreign = lambda n, each: "\n".join(" ".join(f"w{pick.randrange(999)}" for _ in range(each)) for _ in range(n))
+    texts = [
+        None, "", "\n\n\n", mit, wrap(mit, 8), wrap(mit.upper(), 5, " * ", "\r\n"), wrap(bsd, 1), "head\n\n" + wrap(mit, 9) + "\n \t*\n" + foreign(2, 5), foreign(40, 9) + "\n" + wrap(bsd, 6) + "\n" + foreign(40, 9),
+        wrap(mit, 12, end="\n\n"), wrap(mit, 12, end="\r\n"), wrap(mit, 12, end="\r"), wrap(mit, 12, end="\n\r"), foreign(300, 3) + "\n" + wrap(mit, 3), "a\n" + " ".join(f"{x} y z q u" for x in mit.split(" ")), wrap(mit, 1, "x y z q u v ", "\n"), wrap(mit, 12, end="\n--- # ---\n"),
+    ]
+    for _ in range(30):
+        t = ls.TEMPLATES[pick.choice(list(ls.TEMPLATES))].split(" ")
+        kept = [w for w in t if pick.random() < 0.8]
+        texts.append(foreign(pick.randrange(30), 7) + pick.choice(["\n", "\n\n"]) + wrap(" ".join(kept), pick.randrange(1, 9)) + pick.choice(["\n", "\n\n"]) + foreign(pick.randrange(30), 7))
+    span = 2 * max(len(t.split(" ")) for t in ls.TEMPLATES.values())
+    got = {r["doc"]: r["found"] for r in ls.containments(make_docs(texts), wrapped=True).groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("template", "containment"))).alias("found")).collect()}
+    for i, text in enumerate(texts):
+        full = {n: max((len(set(b) & set(t.split())) for b in blocks(text, span)), default=0) / len(set(t.split())) for n, t in ls.TEMPLATES.items()}
+        assert got.get(i, {}) == {n: c for n, c in full.items() if c >= ls.THRESHOLD}, i
+    rows = {r["doc_id"]: r for r in ls.scan(make_docs(texts), wrapped=True).collect()}
+    assert all(rows[i]["labels"] == "mit" and rows[i]["score"] == 1 for i in (3, 4, 5, 7, 10, 11, 13)) and rows[8]["labels"] == "bsd" and not rows[9]["labels"]
+    line_by_line = {r["doc_id"]: r["labels"] for r in ls.scan(make_docs(texts)).collect()}
+    assert not line_by_line[4] and not line_by_line[8]

@@ -10,6 +10,10 @@ the needed overlap can't. *Positional filter*: if the first shared word stands a
 The templates are a parameter of fixed size, so they travel as literals; the corpus is never joined with itself and no
 block leaves its row, except the few that pass the prefix filter.
 
+*Blocks*: ``scan`` takes every line as a block. With ``wrapped``, as a notice is often wrapped over lines, the blocks are the
+paragraphs parted by lines without words; a text that has no such line is cut into its lines, and into windows of 2 L words
+at every L words, L being twice the words of the longest template, so that any L words that follow each other are in one.
+
 Defined cases: null and empty texts have no words, no labels and score 0; a block repeated counts once; a phrase is
 counted at each of its places, in blocks or across them.
 """
@@ -22,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import count_spaced, spaced_words, text_or_empty
+from .text import NON_WORD, count_spaced, lower_ascii, spaced_words, text_or_empty
 
 #: Phrases that name a license wherever their words stand consecutively.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -37,6 +41,8 @@ TEMPLATES = {
     "reserved-notice": "copyright all rights reserved no part of this publication may be reproduced or transmitted in any form without prior written permission of the publisher",
 }
 THRESHOLD = 0.7
+#: From the end of a line to the end of the last line without words after it.
+_GAP = rf"\n{NON_WORD[:-1]}*\n"
 
 
 def _quoted(word: str) -> Column:
@@ -80,19 +86,33 @@ def template_plans(templates: Mapping[str, str], counts: Mapping[str, int], thre
     return out
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, prefix_words: list[str]) -> DataFrame:
+def wrapped_blocks(text: Column, span: int) -> Column:
+    """The blocks of a text as arrays in the form of ``spaced_words``: paragraphs; of a text that is one, lines and windows of 2 ``span`` words."""
+    text = F.translate(F.replace(lower_ascii(text), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+    filled = lambda blocks: F.filter(F.transform(blocks, spaced_words), lambda b: b != "")
+    paragraphs, lines, words = filled(F.split(text, _GAP)), filled(F.split(text, r"\n")), F.split(spaced_words(text), "  ")
+    last = F.greatest(F.ceil(F.size(words) / span).cast("int") - 2, F.lit(0))
+    windows = F.transform(F.sequence(F.lit(0), last), lambda k: F.array_join(F.slice(words, k * span + 1, 2 * span), "  "))
+    return F.when(F.size(paragraphs) > 1, paragraphs).when(F.size(lines) > 1, F.concat(lines, windows)).otherwise(lines)
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str, prefix_words: list[str], span: int | None) -> DataFrame:
     """doc and words of each block that holds a word of some prefix: its distinct words, and all of them with spaces around."""
     text = text_or_empty(docs[text_col])
     shares = lambda spaced: F.arrays_overlap(F.split(spaced, "  "), F.array(*[F.lit(w) for w in prefix_words]))
     near = docs.select(docs[id_col].alias("doc"), text.alias("text")).where(shares(spaced_words(text)))
-    blocks = near.select("doc", F.explode(F.split("text", r"[\n\r]+")).alias("block")).select("doc", spaced_words(F.col("block")).alias("spaced"))
+    if span:
+        blocks = near.select("doc", F.explode(wrapped_blocks(F.col("text"), span)).alias("spaced"))
+    else:
+        blocks = near.select("doc", F.explode(F.split("text", r"[\n\r]+")).alias("block")).select("doc", spaced_words(F.col("block")).alias("spaced"))
     return blocks.where(shares(F.col("spaced"))).select("doc", F.array_distinct(F.split("spaced", "  ")).alias("words"), F.concat(F.lit(" "), F.col("spaced"), F.lit(" ")).alias("padded"))
 
 
-def containments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def containments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """doc, template, containment: each template that some block of a document contains to at least ``threshold``."""
     plans = template_plans(templates, word_order(docs, text_col, templates), threshold)
-    blocks = _blocks(docs, id_col, text_col, sorted({w for words, _, prefix in plans.values() for w in words[:prefix]}))
+    span = 2 * max((len(t.split(" ")) for t in templates.values()), default=1) if wrapped else None
+    blocks = _blocks(docs, id_col, text_col, sorted({w for words, _, prefix in plans.values() for w in words[:prefix]}), span)
     rows = blocks.select("doc", "words", "padded", F.explode(F.array(*[F.lit(n) for n in plans])).alias("template"))
     has = lambda w: F.contains("padded", _quoted(w))
     passes, overlap = F.lit(False), F.lit(None).cast("double")
@@ -106,7 +126,7 @@ def containments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.groupBy("doc", "template").agg(F.max("containment").alias("containment"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """One row a document: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score`` is 1 where a phrase stands, else the greatest containment of a template (0: none reaches the threshold).
@@ -118,7 +138,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         "doc", count_spaced(F.col("spaced")).alias("n_words"), sum((n for n, _, _ in places.values()), F.lit(0)).cast("long").alias("n_base"),
         _least([a for _, a, _ in places.values()], F.least).alias("first_word"), _least([b for _, _, b in places.values()], F.greatest).alias("last_word"), base.alias("base"),
     )
-    found = containments(docs, id_col, text_col, templates, threshold)
+    found = containments(docs, id_col, text_col, templates, threshold, wrapped)
     found = found.groupBy("doc").agg(F.collect_set("template").alias("more"), F.max("containment").alias("most")).withColumnRenamed("doc", "found")
     out = counted.join(found, F.col("doc").eqNullSafe(F.col("found")), "left")
     joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")

@@ -166,6 +166,13 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 OP10_SQL = _op10_sql()
 
 
+def op10_wrapped_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op10_license_scan`` with paragraphs and windows of lines as blocks, where its SQL has single lines."""
+    from .license_scan import scan
+
+    return scan(_table(spark, sf_dir, "documents"), wrapped=True)
+
+
 def op5_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document that loses sentences; documents that lose none have no row."""
     from .span_dedup import repeated_sentences
@@ -208,5 +215,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    names = {k.split("_")[0]: k for k in queries()}
+    names = {k.split("_")[0]: k for k in reversed(queries())}  # SQL belongs to the first query of its number
     return {names[k[:-4].lower()]: v for k, v in globals().items() if k.startswith("OP") and k.endswith("_SQL")}
