@@ -1,5 +1,8 @@
 import random
 import re
+from collections import Counter
+
+import pytest
 
 from tidewater.llm.decontaminate import PhraseIndex, decontaminate
 
@@ -46,3 +49,44 @@ def test_empty_tables(spark, make_docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [r["n_hit"] for r in PhraseIndex(make_docs(["a b"]), empty).report().collect()] == [0]
     assert PhraseIndex(make_docs([]), spark.createDataFrame([(1, "a")], "item_id long, text string")).report().count() == 0
+
+
+def brute_near(texts, items, distance):
+    split = {d: words(t) for d, t in texts.items()}
+    counts = Counter(x for w in split.values() for x in w)
+    wins = {(tuple(w[i : i + 10]), item) for item, t in items.items() if (w := words(t)) for i in range(max(len(w) - 10, 0) + 1)}
+    out = {}
+    for win, item in wins:
+        rare = sorted((counts[x], x, win.index(x)) for x in set(win) if counts[x])[:2]
+        for doc, w in split.items() if len(rare) == 2 else ():
+            (_, a, i), (_, b, j) = rare
+            gaps = [g for p, x in enumerate(w) if x == a for q, y in enumerate(w) if y == b and (p < q) == (i < j) and (g := abs((p - i) - (q - j))) <= distance]
+            if gaps:
+                n, gap, names = out.get(doc, (set(), 99, set()))
+                out[doc] = (n | {win}, min(gap, min(gaps)), names | {str(item)})
+    return {d: (len(out[d][0]), out[d][1], sorted(out[d][2])) if d in out else (0, None, None) for d in texts}
+
+
+def test_near_report_against_brute_force(spark, make_docs):
+    pick = random.Random(2)
+    vocabulary = [f"v{i}" for i in range(40)] + ["the"] * 20
+    items = {i: " ".join(pick.choice(vocabulary) for _ in range(pick.randrange(24))) for i in range(12)} | {20: None, 21: "the the the", 22: "never seen v1", 23: "one gone two never seen three gone"}
+    texts = {i: " ".join(pick.choice(vocabulary) for _ in range(pick.randrange(50))) for i in range(25)} | {30: None, 31: "", 32: "the " * 300}
+    passage = [f"p{i}" for i in range(30)]
+    items[40] = " ".join("replaced" if i % 7 == 3 else w for i, w in enumerate(passage))  # every window has a word that no document has
+    texts |= {40: " ".join("other" if i % 7 == 3 else w for i, w in enumerate(passage)), 41: " ".join(w + (" other" if i % 7 == 3 else "") for i, w in enumerate(passage))}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    index = PhraseIndex(make_docs(texts), benchmark)
+    got = {r["doc"]: (r["n_near"], r["least_gap"], r["near_items"]) for r in index.near_report(3).collect()}
+    assert got == brute_near(texts, items, 3)
+    assert "40" in got[40][2] and "40" in got[41][2]
+    assert {r["doc"]: (r["n_words"], r["n_hit"], r["items"]) for r in index.report().collect()} == brute(texts, items)
+    with pytest.raises(ValueError):
+        PhraseIndex(make_docs(texts), benchmark, near=False).proximity(3)
+
+
+def test_near_is_a_query(spark):
+    from tidewater.llm.queries import oracle_sql, queries
+
+    rows = queries()["op4_proximity"](spark, "/root/testdata/sf0.001").collect()
+    assert any(r["n_near"] for r in rows) and "op4_decontaminate" in oracle_sql() and "op4_proximity" not in oracle_sql()

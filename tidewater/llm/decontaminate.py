@@ -4,7 +4,8 @@
 are found. The postings of those words (word, document, position) are stored as one sorted table, rarest words with the
 words around them; an end mark gives each document's length. *Search*: the list of a window's rarest word, each position less the word's offset in the window, is
 intersected with the adjusted list of its second rarest word; what remains is checked word by word. *Proximity*: the
-same lists, joined on the document with a bounded distance instead of an equal start.
+same lists, joined on the document with a bounded distance instead of an equal start. There a window's two words are the
+rarest that do occur, so that copies with another word put in or in place of one are near; a copy in which one of the two was replaced isn't.
 
 The words of the benchmark are broadcast behind a check of their number (beyond it, the same joins run by exchange).
 Documents are never exchanged: only postings of rare words are, and matches come back combined by document.
@@ -23,6 +24,8 @@ from .scratch import Scratch
 from .text import spaced_words, text_or_empty, word_array
 
 WINDOW = 10
+#: Near means that two words stand up to so many words further apart or closer than in the window.
+DISTANCE = 3
 #: Stands in the index after the last word of every document, so that its position is the document's length.
 END = ""
 #: Test words are broadcast up to this many (some 60 MB); beyond, joins exchange.
@@ -36,7 +39,9 @@ def _bounded(small: DataFrame) -> DataFrame:
 class PhraseIndex:
     """Postings of the words that identify the windows of a benchmark."""
 
-    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text"):
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", near: bool = True):
+        """Without ``near``, windows with a word that no document has aren't indexed: phrases don't need them, proximity does."""
+        self.near = near
         self.spark: SparkSession = docs.sparkSession
         self.scratch, self.window = Scratch(self.spark, "phrases"), window
         self.docs = docs.select(docs[id_col].alias("doc"), spaced_words(text_or_empty(docs[text_col])).alias("spaced"))
@@ -67,12 +72,14 @@ class PhraseIndex:
         ranked = each.join(counts, "term", "left").groupBy("win", "term").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"), F.min("offset").alias("offset"), F.first("terms").alias("terms"))
         order = F.array_sort(F.collect_list(F.struct("n", "term", "offset")))
         best = ranked.groupBy("win").agg(F.first("terms").alias("terms"), order.alias("order"))
-        # a window with a word that no document has occurs nowhere
-        best = best.where(F.col("order")[0]["n"] > 0)
-        self.searched = self.scratch.write(best.select("win", "terms", F.col("order")[0].alias("one"), F.try_element_at("order", F.lit(2)).alias("two")), "searched")
+        # a window with a word that no document has occurs nowhere, but may be near
+        whole = F.col("order")[0]["n"] > 0
+        best = best.withColumn("whole", whole).withColumn("order", F.filter("order", lambda o: o["n"] > 0))
+        best = best.where((F.size("order") > 1) | F.col("whole") if self.near else F.col("whole"))
+        self.searched = self.scratch.write(best.select("win", "terms", "whole", F.col("order")[0].alias("one"), F.try_element_at("order", F.lit(2)).alias("two")), "searched")
 
     def _postings(self) -> None:
-        ones = self.searched.select(F.col("one.term").alias("term"), F.lit(True).alias("rarest"))
+        ones = self.searched.select(F.col("one.term").alias("term"), F.col("whole").alias("rarest"))
         twos = self.searched.where("two IS NOT NULL").select(F.col("two.term").alias("term"), F.lit(False).alias("rarest"))
         ends = self.spark.range(1).select(F.lit(END).alias("term"), F.lit(False).alias("rarest"))
         kept = self.scratch.write(ones.unionByName(twos).unionByName(ends).groupBy("term").agg(F.max("rarest").alias("rarest")), "kept")
@@ -82,9 +89,9 @@ class PhraseIndex:
         postings = found.select("term", "doc", F.col("pos").cast("int").alias("pos"), (F.col("pos") - lead).cast("int").alias("lead"), around.alias("around"))
         self.postings = self.scratch.write(postings.sortWithinPartitions("term", "doc", "pos"), "postings")
 
-    def _list(self, which: str) -> DataFrame:
-        """win, doc and the start each posting of a window's word stands for."""
-        wanted = self.searched.where(F.col(which).isNotNull()).select("win", "terms", F.col(which)["term"].alias("term"), F.col(which)["offset"].alias("offset"))
+    def _list(self, which: str, whole: bool = True) -> DataFrame:
+        """win, doc and the start each posting of a window's word stands for; of windows all of whose words occur, or of all."""
+        wanted = self.searched.where(F.col(which).isNotNull() & (F.col("whole") | F.lit(not whole))).select("win", "terms", F.col(which)["term"].alias("term"), F.col(which)["offset"].alias("offset"))
         return self.postings.join(wanted, "term").withColumn("start", F.col("pos") - F.col("offset"))
 
     def phrases(self) -> DataFrame:
@@ -92,7 +99,7 @@ class PhraseIndex:
         first = self._list("one").where("start >= 0 AND lead >= offset")
         same = F.slice("around", F.col("lead") - F.col("offset") + 1, F.size("terms")) == F.col("terms")
         second = self._list("two").select(F.col("win").alias("win2"), F.col("doc").alias("doc2"), F.col("start").alias("start2"))
-        alone = self.searched.where("two IS NULL").select(F.col("win").alias("alone"))
+        alone = self.searched.where("whole AND two IS NULL").select(F.col("win").alias("alone"))
         first = first.where(same).select("win", "doc", "start", F.size("terms").alias("length"))
         pairs = (F.col("win") == F.col("win2")) & (F.col("start") == F.col("start2")) & F.col("doc").eqNullSafe(F.col("doc2"))
         both = first.join(second, pairs, "left_semi")
@@ -100,8 +107,10 @@ class PhraseIndex:
 
     def proximity(self, distance: int) -> DataFrame:
         """win, doc, start, gap: places where a window's two rarest words stand in their order, up to ``distance`` words further apart or closer than in the window."""
-        one = self._list("one").select("win", "doc", F.col("start").alias("start"), "pos", "offset")
-        two = self._list("two").select(F.col("win").alias("win2"), F.col("doc").alias("doc2"), F.col("start").alias("start2"), F.col("pos").alias("pos2"), F.col("offset").alias("offset2"))
+        if not self.near:
+            raise ValueError("the index was made without near")
+        one = self._list("one", whole=False).select("win", "doc", F.col("start").alias("start"), "pos", "offset")
+        two = self._list("two", whole=False).select(F.col("win").alias("win2"), F.col("doc").alias("doc2"), F.col("start").alias("start2"), F.col("pos").alias("pos2"), F.col("offset").alias("offset2"))
         bucket = max(1, distance + 1)
         one = one.withColumn("cell", F.explode(F.array(*[F.floor(F.col("start") / bucket) + i for i in (-1, 0, 1)])))
         two = two.withColumn("cell2", F.floor(F.col("start2") / bucket))
@@ -122,6 +131,15 @@ class PhraseIndex:
         out = lengths.join(both, F.col("doc").eqNullSafe(F.col("doc_h")), "left")
         return out.select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "items")
 
+    def near_report(self, distance: int = DISTANCE) -> DataFrame:
+        """One row a document: doc, n_near (windows whose two words stand near each other), least_gap, near_items (sorted ids, null: none)."""
+        found = self.scratch.write(self.proximity(distance).groupBy("win", "doc").agg(F.min("gap").alias("gap")), "near")
+        hits = found.groupBy("doc").agg(F.count(F.lit(1)).alias("n_near"), F.min("gap").cast("int").alias("least_gap")).withColumnRenamed("doc", "doc_h")
+        items = found.join(self.items, "win").groupBy("doc").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("near_items"))
+        both = hits.join(items, F.col("doc_h").eqNullSafe(F.col("doc"))).drop("doc")
+        out = self.postings.where(F.col("term") == END).select("doc").join(both, F.col("doc").eqNullSafe(F.col("doc_h")), "left")
+        return out.select("doc", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "least_gap", "near_items")
+
 
 def items_digest(items: Column) -> Column:
     return F.sha2(F.coalesce(F.array_join(items, ","), F.lit("")), 256)
@@ -129,6 +147,6 @@ def items_digest(items: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
     """The rows of ``docs`` without any window of ``benchmark``, with all their columns."""
-    index = PhraseIndex(docs, benchmark, id_col=id_col, **columns)
+    index = PhraseIndex(docs, benchmark, id_col=id_col, near=False, **columns)
     hit = index.scratch.write(index.phrases().select(F.col("doc").alias("_hit")).distinct(), "hit")
     return docs.join(hit, docs[id_col].eqNullSafe(F.col("_hit")), "left_anti")

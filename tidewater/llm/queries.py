@@ -110,7 +110,7 @@ OP3_SQL = _op3_sql()
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import PhraseIndex, items_digest
 
-    found = PhraseIndex(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).report()
+    found = PhraseIndex(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), near=False).report()
     n_items = F.coalesce(F.size(F.col("items")), F.lit(0))
     return found.select(
         F.col("doc").alias("doc_id"), "n_words", "n_hit", F.when(n_items > 0, n_items).otherwise(0).cast("long").alias("n_items"), items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
@@ -131,6 +131,15 @@ FROM low LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
 """
 
 
+def op4_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches, which the SQL of ``op4_decontaminate`` has no column for."""
+    from .decontaminate import PhraseIndex, items_digest
+
+    found = PhraseIndex(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).near_report()
+    n_items = F.coalesce(F.size(F.col("near_items")), F.lit(0))
+    return found.select(F.col("doc").alias("doc_id"), "n_near", "least_gap", F.when(n_items > 0, n_items).otherwise(0).cast("long").alias("n_near_items"), items_digest(F.col("near_items")).alias("near_items_sha256"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan
 
