@@ -45,3 +45,37 @@ def test_empty_table_and_repeated_rows(spark, make_docs):
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (7, text)], "doc_id long, text string")
     got = {r["doc"]: r["origins"] for r in sd.repeated_sentences(docs).collect()}
     assert set(got) == {1, 7}
+
+
+def brute_all_runs(texts):
+    """The sentences in any run of enough sentences and words that stands at an earlier place too."""
+    seen, out = set(), {}
+    for doc in sorted(texts):
+        words = [tuple(s.lower().split()) for s in sd.sentences(texts[doc])]
+        for i in range(len(words)):
+            for j in range(i + sd.SENTENCES, len(words) + 1):
+                if sum(map(len, words[i:j])) >= sd.LEAST_WORDS:
+                    if (run := tuple(words[i:j])) in seen:
+                        out.setdefault(doc, set()).update(range(i, j))
+                    seen.add(run)
+    return {d: sorted(r) for d, r in out.items()}
+
+
+def test_every_repeated_run_is_found_from_both_ends(spark, make_docs):
+    pick = random.Random(4)
+    sentence = lambda: " ".join(f"w{pick.randrange(40)}" for _ in range(pick.randrange(1, 9))) + ". "
+    passages = ["".join(sentence() for _ in range(pick.randrange(2, 8))) for _ in range(6)]
+    texts = {i: "".join(pick.choice(passages) if pick.random() < 0.3 else sentence() for _ in range(pick.randrange(12))) for i in range(40)}
+    tail = "w " * 19 + "end. One two three four. Five six seven eight. "
+    texts |= {90: tail, 91: tail, 92: tail + "more words follow here."}
+    got = {r["doc"]: r["removed"] for r in sd.repeated_sentences(make_docs(texts), both_ends=True).collect()}
+    assert got == brute_all_runs(texts)
+    assert got[91] == got[92] == [0, 1, 2]
+
+
+def test_the_query_removes_whole_copies(spark, make_docs, tmp_path):
+    from tidewater.llm.queries import op5_span_dedup
+
+    tail = "w " * 19 + "end. One two three four. Five six seven eight. "
+    make_docs([tail, tail + "other text. ", "lead. " + tail]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["removed_sentences"] for r in op5_span_dedup(spark, str(tmp_path)).collect()} == {1: [0, 1, 2], 2: [1, 2, 3]}

@@ -186,7 +186,7 @@ def op5_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document that loses sentences; documents that lose none have no row."""
     from .span_dedup import repeated_sentences
 
-    found = repeated_sentences(_table(spark, sf_dir, "documents"))
+    found = repeated_sentences(_table(spark, sf_dir, "documents"), both_ends=True)
     return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_sentences"), F.size("removed").alias("n_removed"), F.col("removed").alias("removed_sentences"), F.col("origins").alias("origin_doc_ids"))
 
 

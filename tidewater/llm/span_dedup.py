@@ -2,7 +2,8 @@
 
 A run starts at every sentence and takes in the next ones until it has at least ``SENTENCES`` sentences and ``LEAST_WORDS``
 words, so that short stock sentences don't make a passage; where a run ends depends on its text alone, so equal passages
-have equal runs wherever they stand. The first place of a run is the one with the least id, then the least position. Every
+have equal runs wherever they stand. With ``both_ends`` a run also ends at every sentence and takes in the ones before it in the
+same way: each sentence of a longer repeated run is then in one of its shortest runs from a start or to an end, so all of it is found. The first place of a run is the one with the least id, then the least position. Every
 sentence in a run at any other place is removed.
 
 Runs are combined by hash before the exchange; the many places of a hot run join its single first place as the large
@@ -10,8 +11,8 @@ side of a sort-merge join, which adaptive execution splits. Only hashes and posi
 
 Defined cases: null and empty texts have no sentences; white space and letter case don't tell runs apart; a text of fewer
 sentences or words than a run needs has none and stays; repeated rows share an id and so their places, and are
-left alone as one; a null id counts as the least id. In copies of a whole text the last sentences may stay if they
-are too few words for a run.
+left alone as one; a null id counts as the least id. Without ``both_ends`` the last sentences of a repeated passage may
+stay if they are too few words for a run.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def sentences(text: str) -> list[str]:
     return [s for s in whole if s]
 
 
-def runs(text: str, least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> tuple[int, list[int], list[int], list[bytes]]:
+def runs(text: str, least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> tuple[int, list[int], list[int], list[bytes]]:
     """The number of sentences; and the first and last sentence and the hash of each run."""
     digests, counts = [], [0]
     parts = sentences(text)
@@ -52,20 +53,23 @@ def runs(text: str, least_sentences: int = SENTENCES, least_words: int = LEAST_W
         return n, [], [], []
     totals = np.array(counts)
     ends = np.maximum(np.searchsorted(totals, totals[:-1] + least_words), np.arange(n) + least_sentences)
-    starts = np.nonzero(ends <= n)[0].tolist()
-    ends = ends.tolist()
+    places = [(i, e) for i, e in enumerate(ends.tolist()) if e <= n]
+    if both_ends:
+        # a text is a shortest run from its start wherever it stands or nowhere, and so to its end: one that is both has one row
+        begins = np.minimum(np.searchsorted(totals, totals[1:] - least_words, side="right") - 1, np.arange(1, n + 1) - least_sentences)
+        places = sorted({*places, *((i, e) for e, i in enumerate(begins.tolist(), 1) if i >= 0)})
     joined = b"".join(digests)
-    return n, starts, [ends[i] - 1 for i in starts], [xxhash.xxh3_128_digest(joined[16 * i : 16 * ends[i]]) for i in starts]
+    return n, [i for i, _ in places], [e - 1 for _, e in places], [xxhash.xxh3_128_digest(joined[16 * i : 16 * e]) for i, e in places]
 
 
-def run_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> DataFrame:
+def run_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> DataFrame:
     """doc, n (sentences), first, last, hash of every run."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             index, sizes, firsts, lasts, hashes = [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                n, a, b, h = runs(text or "", least_sentences, least_words)
+                n, a, b, h = runs(text or "", least_sentences, least_words, both_ends)
                 index += [i] * len(a)
                 sizes += [n] * len(a)
                 firsts += a
@@ -78,28 +82,28 @@ def run_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return source.mapInArrow(make, f"doc {source.schema['doc'].dataType.simpleString()}, n int, first int, last int, hash binary")
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> DataFrame:
     """doc, n, first, last, origin, origin_first: each run at a place that isn't its first, and where that is."""
     scratch = Scratch(docs.sparkSession, "spans")
-    table = scratch.write(run_table(docs, id_col, text_col, least_sentences, least_words), "runs")
-    place = F.struct("doc", "first")
+    table = scratch.write(run_table(docs, id_col, text_col, least_sentences, least_words, both_ends), "runs")
+    place = F.struct("doc", "first", "last")
     firsts = table.groupBy("hash").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times")).where("times > 1").select(F.col("hash").alias("same"), "origin")
     firsts = scratch.write(firsts, "firsts")  # so that the join meets two plain exchanges and a hot run can be split
-    found = table.join(firsts, F.col("hash") == F.col("same")).where(~F.struct("doc", "first").eqNullSafe(F.col("origin")))
+    found = table.join(firsts, F.col("hash") == F.col("same")).where(~place.eqNullSafe(F.col("origin")))
     return found.select("doc", "n", "first", "last", F.col("origin.doc").alias("origin"), F.col("origin.first").alias("origin_first"))
 
 
-def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> DataFrame:
+def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> DataFrame:
     """doc, n, removed (sorted sentence numbers), origins (sorted ids): each document that loses sentences."""
-    found = repeated_runs(docs, id_col, text_col, least_sentences, least_words)
+    found = repeated_runs(docs, id_col, text_col, least_sentences, least_words, both_ends)
     spans = found.select("doc", "n", "first", "last", "origin").distinct()
     covered = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))))
     return spans.groupBy("doc").agg(F.max("n").alias("n"), covered.alias("removed"), F.array_sort(F.collect_set("origin")).alias("origins"))
 
 
-def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> DataFrame:
+def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> DataFrame:
     """All rows and columns of ``docs``; texts without the sentences that repeat others."""
-    gone = repeated_sentences(docs, id_col, text_col, least_sentences, least_words).select(F.col("doc").alias("_of"), F.col("removed").alias("_removed"))
+    gone = repeated_sentences(docs, id_col, text_col, least_sentences, least_words, both_ends).select(F.col("doc").alias("_of"), F.col("removed").alias("_removed"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("_of")), "left").drop("_of")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
