@@ -79,3 +79,11 @@ def test_the_query_removes_whole_copies(spark, make_docs, tmp_path):
     tail = "w " * 19 + "end. One two three four. Five six seven eight. "
     make_docs([tail, tail + "other text. ", "lead. " + tail]).write.parquet(f"{tmp_path}/documents.parquet")
     assert {r["doc_id"]: r["removed_sentences"] for r in op5_span_dedup(spark, str(tmp_path)).collect()} == {1: [0, 1, 2], 2: [1, 2, 3]}
+
+
+def test_scripts_without_spaces(spark, make_docs):
+    passage = "今天天气很好。我们一起去公园散步！「你想去吗？」他问道。"
+    assert sd.sentences(passage) == ["今天天气很好。", "我们一起去公园散步！", "「你想去吗？」", "他问道。"]
+    assert sd.sentences("真的？！ 好。\n\n終。") == ["真的？！ ", "好。\n\n", "終。"]
+    got = {r["doc"]: r["removed"] for r in sd.repeated_sentences(make_docs(["甲说。" + passage, "乙也说了别的话。" + passage + "完。", "短。句。"]), both_ends=True).collect()}
+    assert got == {1: [1, 2, 3, 4]}

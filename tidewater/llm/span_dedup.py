@@ -9,7 +9,8 @@ sentence in a run at any other place is removed.
 Runs are combined by hash before the exchange; the many places of a hot run join its single first place as the large
 side of a sort-merge join, which adaptive execution splits. Only hashes and positions travel, never texts.
 
-Defined cases: null and empty texts have no sentences; white space and letter case don't tell runs apart; a text of fewer
+Defined cases: null and empty texts have no sentences; white space and letter case don't tell runs apart; letters
+of scripts without spaces count as a word each; a text of fewer
 sentences or words than a run needs has none and stays; repeated rows share an id and so their places, and are
 left alone as one; a null id counts as the least id. Without ``both_ends`` the last sentences of a repeated passage may
 stay if they are too few words for a run.
@@ -31,23 +32,35 @@ from .scratch import Scratch
 
 SENTENCES, LEAST_WORDS = 2, 12
 _BREAK = re.compile(r"((?<=[.!?。！？])\s+|\n+)")
+#: For texts with full-width marks: these, and up to two closing quotation marks behind them, end a sentence without white space too.
+_MARK, _CLOSE = "[。！？｡]", "[」』）”’】》]"
+_AFTER = f"(?:(?<={_MARK})|(?<={_MARK}{_CLOSE})|(?<={_MARK}{_CLOSE}{{2}}))"
+_WIDE = re.compile(rf"((?<=[.!?])\s+|\n+|{_AFTER}\s+|{_AFTER}(?![。！？｡」』）”’】》\s]))")
+_MARKS = re.compile(_MARK)
+#: Letters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han. Each counts as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def sentences(text: str) -> list[str]:
     """The sentences with the white space after them; joined, they are the text."""
-    parts = _BREAK.split(text)
+    parts = (_WIDE if _MARKS.search(text) else _BREAK).split(text)
     whole = [a + b for a, b in zip(parts[::2], [*parts[1::2], ""], strict=True)]
     return [s for s in whole if s]
 
 
+def word_count(words: list[str]) -> int:
+    return sum(max(1, len(_UNSPACED.findall(w))) for w in words)
+
+
 def runs(text: str, least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS, both_ends: bool = False) -> tuple[int, list[int], list[int], list[bytes]]:
     """The number of sentences; and the first and last sentence and the hash of each run."""
     digests, counts = [], [0]
+    count = word_count if _UNSPACED.search(text) else len
     parts = sentences(text)
     for s in parts:
         words = s.lower().split()
         digests.append(xxhash.xxh3_128_digest(" ".join(words)))
-        counts.append(counts[-1] + len(words))
+        counts.append(counts[-1] + count(words))
     n = len(parts)
     if n < least_sentences or counts[-1] < least_words:
         return n, [], [], []
