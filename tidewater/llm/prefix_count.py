@@ -9,7 +9,8 @@ A prefix can end where the splitting of the text would go differently: in white
 string. ``PrefixCounter.prefixes`` counts these tails as the library would, so each entry equals the count of the cut text.
 
 Defined cases: null counts as empty (0 bytes, 0 tokens); the empty prefix has 0 tokens; texts of any length are counted
-whole. Special strings inside texts count 1, as the library does.
+whole. Special strings inside texts count 1, as the library does. Repeated rows and null ids are rows like any other; where a table
+has a column of the name of the result's own column already, the result's has underscores before it, so none is lost.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _schema, _texts, small_batches
+from .naming import fresh
 from .pretoken import Splitter, Vocabulary, chunks, distinct_words
 
 #: Words whose counts a worker remembers; beyond, it starts afresh. Bounds memory, never results.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+#: Pairs of tokens whose fit a worker remembers; beyond, it starts afresh.
+REMEMBERED_FITS = 300_000
 
 
 class PrefixCounter:
@@ -45,7 +49,7 @@ class PrefixCounter:
         if found is None:
             tokens = self.vocabulary.tokens
             found = self.vocabulary.merge(tokens[left] + tokens[right]) == [left, right]
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) >= REMEMBERED_FITS:
                 self.fits.clear()
             self.fits[left, right] = found
         return found
@@ -173,18 +177,20 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", counts_col: str = "prefix_tokens") -> DataFrame:
     """``docs`` with the array of exact counts of every prefix, by characters from 0 on."""
+    (counts_col,) = fresh(docs.columns, counts_col)
     return _with_counter(docs, path, text_col, f"`{counts_col}` array<int>", counts_col, lambda c, t: pa.array(c.prefixes(t).tolist(), pa.int32()).to_pylist(), pa.list_(pa.int32()))
 
 
 def truncate(docs: DataFrame, path: str, budget: int, text_col: str = "text", cut_col: str = "cut") -> DataFrame:
     """``docs`` with the longest prefix of each text that has at most ``budget`` tokens."""
+    (cut_col,) = fresh(docs.columns, cut_col)
     return _with_counter(docs, path, text_col, f"`{cut_col}` string", cut_col, lambda c, t: t[: c.truncated(t, budget)], pa.string())
 
 
 def _with_counter(docs: DataFrame, path: str, text_col: str, field: str, name: str, of, kind: pa.DataType) -> DataFrame:
     small_batches(docs.sparkSession)
     shared = _Shared(docs.sparkSession, path)
-    keep = [c for c in docs.columns if c != name]
+    keep = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = shared.counter()

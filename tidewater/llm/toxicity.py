@@ -10,7 +10,9 @@ The model is fitted on at most ``MOST_LABELLED`` labelled rows (those of least h
 rows; the model that executors get has a fixed size.
 
 Inputs of a score are words alone. Defined cases: null and empty texts have no terms and score the bias; rows with a
-null id or label don't train; an id labelled more than once trains with its highest label; without both labels in
+null id or label don't train; an id labelled more than once trains with its highest label, an id that stands on several rows with its least
+text; repeated rows are scored each; where a table has a column of the score's name
+already, the score's has underscores before it; without both labels in
 training, every text scores the (smoothed) share of toxic labels. Texts of any length count whole.
 """
 
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import small_batches
+from .naming import fresh
 from .pretoken import chunks, string_bytes
 from .scratch import Scratch
 
@@ -135,7 +138,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     sample = known.orderBy(F.xxhash64("id"), "id").limit(MOST_LABELLED)
     # broadcast: two numbers a row, at most MOST_LABELLED rows
     source = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
-    return source.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("text", F.col("label").cast("int").alias("label"))
+    found = source.join(F.broadcast(sample), F.col("doc") == F.col("id"))
+    # an id that stands on many rows trains once, with its least text
+    return found.groupBy("id").agg(F.min("text").alias("text"), F.first("label").cast("int").alias("label")).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -187,7 +192,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """``docs`` with the score of each whole text: from 0 to 1, higher where a toxic label is likelier."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in docs.schema if f.name != score_col]
+    (score_col,) = fresh(docs.columns, score_col)
+    keep = list(docs.schema)
     at = [f.name for f in keep].index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,5 +209,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
 def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, limit: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score under ``limit``, with all their columns; learns from ``labelled`` texts."""
-    scored = score(docs, fit(labelled, labels, id_col, text_col), text_col, "_score")
-    return scored.where(F.col("_score") < limit).drop("_score")
+    (name,) = fresh(docs.columns, "score")
+    scored = score(docs, fit(labelled, labels, id_col, text_col), text_col, name)
+    return scored.where(F.col(name) < limit).drop(name)
