@@ -25,7 +25,7 @@ def test_lexicon_holds_its_words_only():
     lexicon = bpe.Lexicon.build(words, lambda w: list(w))
     asked = sorted(words) + [b"stat", b"nations", b"b", b"x" * 99]
     data = np.frombuffer(b"".join(asked), np.uint8)
-    found = bpe.Lexicon.mapped(lexicon.blob()).find(data, np.concatenate([[0], np.cumsum([len(w) for w in asked])]))
+    found = bpe.Lexicon.opened(np.frombuffer(lexicon.blob(), np.uint8)).find(data, np.concatenate([[0], np.cumsum([len(w) for w in asked])]))
     assert found.tolist() == [0, 1, 2, 3, 4, 5, -1, -1, -1, -1]
     assert [list(lexicon.ids[lexicon.first[i] : lexicon.first[i + 1]]) for i in range(6)] == [list(w) for w in sorted(words)]
     assert len(lexicon.arc) < sum(map(len, words)) - 8  # "ation" is shared
@@ -55,5 +55,39 @@ def test_encode_and_decode_frames(spark, awkward):
     assert back == {i: t or "" for i, t in AWKWARD.items()}
 
 
+def test_clashing_names_repeated_rows_and_null_ids(spark):
+    codec = bpe.Codec(spark, tokenizer_path(), ["word"])
+    docs = spark.createDataFrame([(None, "a word", 7), (None, "a word", 7), (1, None, 8)], "doc_id long, text string, IDS int")
+    encoded = bpe.encode(docs, tokenizer_path(), codec)
+    assert encoded.columns == ["doc_id", "IDS", "_ids"]
+    back = bpe.decode(encoded.withColumnRenamed("IDS", "Text"), codec, "_ids")
+    assert back.columns == ["doc_id", "Text", "_text"]
+    assert sorted((r["doc_id"] or 0, r["Text"], r["_text"]) for r in back.collect()) == [(0, 7, "a word"), (0, 7, "a word"), (1, 8, "")]
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in bpe.round_trip_digests(docs, tokenizer_path()).collect()) == [(0, 2), (0, 2), (1, 0)]
+
+
+def test_lexicon_is_mapped_from_the_broadcast_file(spark):
+    lexicon = bpe.Lexicon.build([b"nation", b"station"], lambda w: list(w) * 9)
+    shared = spark.sparkContext.broadcast(lexicon.blob())
+
+    def look(_):
+        mine = bpe.Lexicon.mapped(shared)
+        base = mine.ids
+        while getattr(base, "base", None) is not None and not isinstance(base, np.memmap):
+            base = base.base
+        yield isinstance(mine.ids, np.memmap), mine.arc.flags.aligned, mine.ids.tolist() == lexicon.ids.tolist(), hasattr(shared, "_value")
+
+    assert spark.sparkContext.parallelize([0], 1).mapPartitions(look).collect() == [(True, True, True, False)]
+
+
+def test_small_memory_bounds_change_nothing(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 500)
+    encoder = bpe.Encoder(vocabulary, bpe.Lexicon.build([], vocabulary.merge))
+    texts = [" ".join(f"word{i * j % 97}" for j in range(200)) for i in range(5)] + ["<|endoftext|>"]
+    ids, ends = encoder.encode(texts)
+    for i, text in enumerate(texts):
+        assert ids[ends[i] : ends[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table(spark, awkward):
     assert bpe.round_trip_digests(awkward.limit(0), tokenizer_path()).count() == 0

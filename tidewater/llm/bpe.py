@@ -2,37 +2,48 @@
 
 *Lexicon*: frequent words, each at least ``MIN_SHARE`` of all words (so at most 1/``MIN_SHARE`` of them, whatever the corpus),
 are counted over all texts and compiled into a minimal automaton whose arcs carry numbers: the sum along a word's path
-is its index into a table of id sequences. Words share prefixes and suffixes, so the automaton is small; it is
-broadcast, each Python worker writes it once to its own temporary folder, maps it into memory and unlinks the file.
+is its index into a table of id sequences. Words share prefixes and suffixes, so the automaton is small. It is broadcast, so Spark
+puts one file of it on each host, and removes it; the workers of the host all map that file into memory, read-only, and none loads a copy.
 
 *Encoding*: the distinct words of a chunk of texts walk the automaton together, one array step for each byte. Words it
-doesn't hold are merged exactly, pair by pair in rank order. *Decoding* joins the bytes of the ids.
+doesn't hold are merged exactly, pair by pair in rank order, and remembered up to ``REMEMBERED`` bytes. *Decoding* joins the bytes of the ids.
 
 Defined cases: null counts as the empty text, which has no ids; special strings inside texts get their special ids, as
-the library does; texts of any length are cut only between words. Unknown ids can't be decoded and raise.
+the library does; texts of any length are cut only between words. Unknown ids can't be decoded and raise. Repeated rows and null
+ids are rows like any other; where a table has a column of the
+name of the result's own column already, the result's has underscores before it, so none is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrow import kept, map_arrow
+from .naming import fresh
 from .pretoken import Splitter, Vocabulary, chunks, distinct_words, gather
+from .scratch import Scratch
 
 #: A word is in the lexicon if it makes up this share of all words: at most 400,000 words.
 MIN_SHARE = 2.5e-6
 #: Longer words are left to merging.
 MAX_WORD_BYTES = 32
-#: Merged words a worker remembers; beyond, it starts afresh. Bounds memory, never results.
-REMEMBERED = 300_000
+#: Bytes of merged words a worker remembers; beyond, it starts afresh. Bounds memory, never results.
+REMEMBERED = 24_000_000
+#: About what Python needs for a remembered word beside its bytes.
+_EACH = 180
+#: Partial counts a task holds; beyond, they are passed on. Bounds memory, never results.
+HELD_COUNTS = 200_000
+#: Stands at the start of a lexicon's bytes.
+MAGIC = b"tidewater lexicon"
 
 
 class Lexicon:
@@ -118,25 +129,36 @@ class Lexicon:
         })
 
     def blob(self) -> bytes:
+        """All arrays; padded so that they stand at multiples of 8 in the file of a broadcast of these bytes."""
         parts = [np.ascontiguousarray(getattr(self, n), t) for n, t in self.FIELDS]
-        head = np.array([len(p) for p in parts], np.int64).tobytes()
-        return head + b"".join(p.tobytes() + b"\0" * (-p.nbytes % 8) for p in parts)
+        sizes = np.array([len(p) for p in parts], np.int64).tobytes()
+        body = sizes + b"".join(p.tobytes() + b"\0" * (-p.nbytes % 8) for p in parts)
+        ahead = pickle.dumps(MAGIC + bytes(8) + body, pickle.HIGHEST_PROTOCOL)[:64].find(MAGIC) + len(MAGIC) + 1
+        return MAGIC + bytes([-ahead % 8]) + bytes(-ahead % 8) + body
 
     @classmethod
-    def mapped(cls, blob: bytes) -> Lexicon:
-        """Maps a blob from an unlinked file of this worker's own."""
-        handle, path = tempfile.mkstemp(suffix=".lexicon")
-        with os.fdopen(handle, "wb") as f:
-            f.write(blob)
-        data = np.memmap(path, np.uint8, "r")
-        os.unlink(path)
-        sizes, at, arrays = np.frombuffer(data[: 8 * len(cls.FIELDS)], np.int64), 8 * len(cls.FIELDS), {}
+    def opened(cls, data: np.ndarray) -> Lexicon:
+        """A lexicon on bytes that hold a blob, mapped or not."""
+        at = data[:64].tobytes().find(MAGIC) + len(MAGIC)
+        at += 1 + int(data[at])
+        sizes, arrays = data[at : at + 8 * len(cls.FIELDS)].view(np.int64), {}
+        at += 8 * len(cls.FIELDS)
         for (name, kind), n in zip(cls.FIELDS, sizes, strict=True):
             nbytes = int(n) * np.dtype(kind).itemsize
             arrays[name] = data[at : at + nbytes].view(kind)
             at += nbytes + -nbytes % 8
         return cls(arrays)
 
+    @classmethod
+    def mapped(cls, shared: Broadcast) -> Lexicon:
+        """Maps the broadcast's own file of this host; where there is none to read (encrypted broadcasts), takes its value."""
+        path = getattr(shared, "_path", None)
+        if path:
+            data = np.memmap(path, np.uint8, "r")
+            if data[:64].tobytes().find(MAGIC) >= 0:
+                return cls.opened(data)
+        return cls.opened(np.frombuffer(shared.value, np.uint8))
+
     def find(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The index of each word data[offsets[i] : offsets[i + 1]], -1 where the lexicon has it not."""
         lengths = np.diff(offsets)
@@ -167,7 +189,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.splitter = Splitter(vocabulary)
-        self.merged = {s.encode(): [i] for s, i in vocabulary.special.items()}
+        self._forget()
         self.token_bytes = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
         self.token_lengths = np.array([len(t) for t in vocabulary.tokens], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
@@ -178,30 +200,35 @@ class Encoder:
         found = self.lexicon.find(data, offsets)
         first, ids = np.asarray(self.lexicon.first), np.asarray(self.lexicon.ids)
         new = np.nonzero(found < 0)[0]
-        merged = self._merged(data.tobytes(), offsets[new].tolist(), offsets[new + 1].tolist())
+        merged, sizes = self._merged(data.tobytes(), offsets[new].tolist(), offsets[new + 1].tolist())
         known = np.maximum(found, 0)
         starts = first[known]
         lengths = (first[known + 1] if len(first) > 1 else starts) - starts
-        lengths[new] = [len(m) for m in merged]
-        starts[new] = len(ids) + np.cumsum(lengths[new]) - lengths[new]
-        table = np.concatenate([ids, np.array([i for m in merged for i in m], np.int32)])
+        lengths[new] = sizes
+        starts[new] = len(ids) + np.cumsum(sizes) - sizes
+        table = np.concatenate([ids, merged])
         lengths_in_order = lengths[numbers]
         out = gather(table, starts[numbers], lengths_in_order)
         sums = np.concatenate([[0], np.cumsum(lengths_in_order)])
         return out, sums[ends]
 
-    def _merged(self, raw: bytes, starts: list[int], ends: list[int]) -> list[list[int]]:
-        """The ids of words outside the lexicon. The last ``REMEMBERED`` of them stay at hand, for they come again."""
-        held, merge, out = self.merged, self.vocabulary.merge, []
-        if len(held) > REMEMBERED:
-            held = self.merged = {s.encode(): [i] for s, i in self.vocabulary.special.items()}
+    def _forget(self) -> None:
+        self.merged = {s.encode(): np.array([i], np.int32).tobytes() for s, i in self.vocabulary.special.items()}
+        self.held = 0
+
+    def _merged(self, raw: bytes, starts: list[int], ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words outside the lexicon, one after the other, and how many each has. Words stay at hand, for they come again."""
+        merge, out = self.vocabulary.merge, []
         for a, b in zip(starts, ends, strict=True):
             word = raw[a:b]
-            ids = held.get(word)
+            ids = self.merged.get(word)
             if ids is None:
-                ids = held[word] = merge(word)
+                if self.held > REMEMBERED:
+                    self._forget()
+                ids = self.merged[word] = np.array(merge(word), np.int32).tobytes()
+                self.held += len(word) + len(ids) + _EACH
             out.append(ids)
-        return out
+        return np.frombuffer(b"".join(out), np.int32), np.array([len(x) // 4 for x in out], np.int64)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """The texts of id runs ids[ends[i] : ends[i + 1]]; bytes that aren't UTF-8 become replacement characters."""
@@ -212,7 +239,10 @@ class Encoder:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """word, n: space-led words of letters, and how many words there are in all (under the empty word), for each part of the input."""
+    """word, n: space-led words of letters, and how many words there are in all (under the empty word), for each part of the input.
+
+    A task passes on what it holds whenever that is ``HELD_COUNTS`` words, so a word may come more than once.
+    """
     held: list[pa.Table] = []
 
     def merged() -> pa.Table:
@@ -220,34 +250,35 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.table({"word": t["word"], "n": t["n_sum"]})
 
     for batch in batches:
-        words = pc.list_flatten(pc.split_pattern(pc.fill_null(batch.column(0).cast(pa.large_string()), ""), " "))
-        counts = pc.value_counts(words)
-        words, n = counts.field(0), counts.field(1)
-        total = pa.table({"word": pa.array([""], pa.large_string()), "n": pa.array([pc.sum(n).as_py() or 0], pa.int64())})
-        keep = pc.and_(pc.match_substring_regex(words, r"^[\p{L}]+$"), pc.less(pc.binary_length(words), MAX_WORD_BYTES))
-        held += [total, pa.table({"word": words.filter(keep), "n": n.filter(keep)})]
-        if sum(t.num_rows for t in held) > 2_000_000:
-            held = [merged()]
+        texts = batch.column(0).cast(pa.large_string())
+        for a in range(0, len(texts), 512):
+            words = pc.list_flatten(pc.split_pattern(pc.fill_null(texts[a : a + 512], ""), " "))
+            counts = pc.value_counts(words)
+            words, n = counts.field(0), counts.field(1)
+            total = pa.table({"word": pa.array([""], pa.large_string()), "n": pa.array([pc.sum(n).as_py() or 0], pa.int64())})
+            keep = pc.and_(pc.match_substring_regex(words, r"^[\p{L}]+$"), pc.less(pc.binary_length(words), MAX_WORD_BYTES))
+            held += [total, pa.table({"word": words.filter(keep), "n": n.filter(keep)})]
+            if sum(t.num_rows for t in held) > HELD_COUNTS:
+                held = [merged()]
+                if held[0].num_rows > HELD_COUNTS // 2:
+                    yield from held.pop().to_batches(100_000)
     if held:
-        yield from (b for b in pa.Table.from_arrays(merged().columns, names=["word", "n"]).to_batches(100_000))
+        yield from merged().to_batches(100_000)
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE) -> list[str]:
     """Words of at least ``min_share`` of all words, counted over every whole text; at most 1/``min_share`` of them."""
-    counts = docs.select(docs[text_col]).mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = F.max(F.when(F.col("word") == "", F.col("n")))
-    counts = counts.persist()
-    try:
-        words = counts.agg(total.alias("n")).first()["n"] or 0
-        return [r["word"] for r in counts.where((F.col("n") >= max(2, words * min_share)) & (F.col("word") != "")).select("word").collect()]
-    finally:
-        counts.unpersist()
+    scratch = Scratch(docs.sparkSession, "words")
+    counts = map_arrow(docs.select(docs[text_col]), _count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = scratch.write(counts.where("n > 1 OR word = ''"), "counts")  # written: a lost executor costs no count
+    words = counts.where("word = ''").agg(F.max("n").alias("n")).first()["n"] or 0
+    found = [r["word"] for r in counts.where((F.col("n") >= max(2, words * min_share)) & (F.col("word") != "")).select("word").collect()]
+    scratch.drop()
+    return found
 
 
 class Codec:
-    """What executors need to encode and decode: broadcast once, opened once a worker."""
-
-    _open: dict[str, Encoder] = {}
+    """What executors need to encode and decode: the vocabulary, which each worker opens once, and the lexicon, which all workers of a host share."""
 
     def __init__(self, spark: SparkSession, path: str, words: Iterable[str]):
         vocabulary = Vocabulary(path)
@@ -255,7 +286,7 @@ class Codec:
         lexicon = Lexicon.build([f for w in words for f in (b" " + w.encode(), w.encode())] + [t for t in vocabulary.tokens[: len(vocabulary.tokens)] if self._whole(vocabulary, t)], vocabulary.merge)
         blob = lexicon.blob()
         self.key = hashlib.sha256(blob + path.encode()).hexdigest()
-        self.shared = spark.sparkContext.broadcast((vocabulary, blob))
+        self.shared, self.lexicon = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(blob)
 
     @staticmethod
     def _whole(vocabulary: Vocabulary, token: bytes) -> bool:
@@ -263,19 +294,10 @@ class Codec:
         return 0 < len(token) <= 8 and token.isascii() and not token.strip().isalpha()
 
     def encoder(self) -> Encoder:
-        if self.key not in Codec._open:
-            vocabulary, blob = self.shared.value
-            Codec._open.clear()
-            Codec._open[self.key] = Encoder(vocabulary, Lexicon.mapped(blob))
-        return Codec._open[self.key]
+        return kept(self.key, lambda: Encoder(self.shared.value, Lexicon.mapped(self.lexicon)))
 
     def __getstate__(self) -> dict:
-        return {"key": self.key, "shared": self.shared}
-
-
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Bounds what an Arrow batch of whole texts can hold."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        return {"key": self.key, "shared": self.shared, "lexicon": self.lexicon}
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -284,9 +306,9 @@ def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
 
 def encode(docs: DataFrame, path: str, codec: Codec | None = None, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` without the text, with its ids as array<int>."""
-    small_batches(docs.sparkSession)
+    (ids_col,) = fresh(docs.columns, ids_col)
     codec = codec or Codec(docs.sparkSession, path, frequent_words(docs, text_col))
-    keep = [c for c in docs.columns if c not in (text_col, ids_col)]
+    keep = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = codec.encoder()
@@ -298,12 +320,13 @@ def encode(docs: DataFrame, path: str, codec: Codec | None = None, text_col: str
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), lists], names=[*keep, ids_col])
 
     source = docs.select(*[docs[c] for c in keep], docs[text_col])
-    return source.mapInArrow(run, _schema(source, keep, f"`{ids_col}` array<int>"))
+    return map_arrow(source, run, _schema(source, keep, f"`{ids_col}` array<int>"), keeps=True)
 
 
 def decode(encoded: DataFrame, codec: Codec, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``encoded`` without the ids, with their text; null ids count as none."""
-    keep = [c for c in encoded.columns if c not in (text_col, ids_col)]
+    (text_col,) = fresh(encoded.columns, text_col)
+    keep = [c for c in encoded.columns if c != ids_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = codec.encoder()
@@ -314,7 +337,7 @@ def decode(encoded: DataFrame, codec: Codec, ids_col: str = "ids", text_col: str
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, text_col])
 
     source = encoded.select(*[encoded[c] for c in keep], encoded[ids_col])
-    return source.mapInArrow(run, _schema(source, keep, f"`{text_col}` string"))
+    return map_arrow(source, run, _schema(source, keep, f"`{text_col}` string"), keeps=True)
 
 
 def _schema(df: DataFrame, keep: list[str], more: str) -> str:
@@ -323,7 +346,6 @@ def _schema(df: DataFrame, keep: list[str], more: str) -> str:
 
 def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit), decoded_sha256: encodes, decodes and digests in one pass."""
-    small_batches(docs.sparkSession)
     codec = Codec(docs.sparkSession, path, frequent_words(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,4 +361,4 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
 
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return map_arrow(source, run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", keeps=True).withColumnRenamed("id", id_col)

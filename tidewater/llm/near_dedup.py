@@ -15,7 +15,7 @@ rarest differences finds every pair that can be a link. No link between componen
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and stay; a text of fewer words than
 a shingle has its whole sequence as one shingle; repeated rows have equal sets; rows that share an id are one node, with
-the links of each; rows with a null id stay and link with nothing.
+the links of each; rows with a null id stay and link with nothing. Other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import small_batches
+from .arrow import map_arrow
+from .bloom import bloom, passing, without
 from .components import connected_components
 from .pretoken import chunks
 from .scratch import Scratch
@@ -36,8 +37,6 @@ from .scratch import Scratch
 BANDS, ROWS = 42, 6
 COORDINATES = BANDS * ROWS
 WORDS, PERCENT = 5, 80
-#: Ids are broadcast up to this many (some 30 MB).
-MOST_BROADCAST = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -126,13 +125,15 @@ def sketch_table(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1)), mask=pa.array(sizes == 0))
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["doc", "n", "digest", "bands"])
 
-    small_batches(docs.sparkSession)
     source, kind = _ids(docs, id_col, text_col)
-    return source.mapInArrow(run, f"doc {kind}, n long, digest binary, bands array<long>")
+    return map_arrow(source, run, f"doc {kind}, n long, digest binary, bands array<long>")
 
 
 def set_table(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, shingles of the documents whose id is in ``wanted`` (doc)."""
+    """doc, shingles of the documents whose id passes the filter ``wanted``: all that were added, and few others.
+
+    Texts are read where they are and never exchanged, however many are wanted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,11 +143,8 @@ def set_table(docs: DataFrame, wanted: DataFrame, words: int, id_col: str = "doc
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), lists], names=["doc", "shingles"])
 
-    small_batches(docs.sparkSession)
     source, kind = _ids(docs, id_col, text_col)
-    # a bounded number of ids goes to the texts; beyond it, both sides are exchanged
-    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
-    return source.join(wanted, "doc", "left_semi").mapInArrow(run, f"doc {kind}, shingles array<long>")
+    return map_arrow(passing(source, F.col("doc"), wanted), run, f"doc {kind}, shingles array<long>")
 
 
 def _close(small: Column, large: Column, percent: int) -> Column:
@@ -187,9 +185,10 @@ class NearDuplicates:
         # bands of up to three nodes have had all their pairs compared; of the others, those in one component need no more
         larger = shared.where(F.col("size") > F.size("leaders")).select("band", F.col("leaders")[0]["rep"].alias("grp"), "rep", "n")
         larger = larger.join(roots, F.col("rep") == F.col("node"), "left").select("band", "grp", "rep", "n", F.coalesce("root", "rep").alias("root"))
-        mixed_bands = larger.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two").select("band")
+        # written, so that the join with them meets two plain exchanges and a hot band can be split
+        mixed_bands = self.scratch.write(larger.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two").select("band"), "mixed")
         open_ = self.scratch.write(larger.join(mixed_bands, "band", "left_semi").select("grp", "rep", "n", "root").distinct(), "open")
-        sets = self._sets(open_.select(F.col("rep").alias("doc")).distinct(), "second")
+        sets = self._sets(open_.select(F.col("rep").alias("doc")), "second")
         rest = self._open_pairs(open_, sets).distinct().join(pairs, ["a", "b"], "left_anti")
         return first.unionByName(self._verified(self.scratch.write(rest, "rest"), "second", sets))
 
@@ -236,12 +235,13 @@ class NearDuplicates:
         return near.unionByName(met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
 
     def _sets(self, ids: DataFrame, name: str) -> DataFrame:
-        return self.scratch.write(set_table(self.docs, ids, self.words, self.id_col, self.text_col), f"{name}-sets")
+        wanted = bloom(ids, "doc", self.scratch, f"{name}-wanted")
+        return self.scratch.write(set_table(self.docs, wanted, self.words, self.id_col, self.text_col), f"{name}-sets")
 
     def _verified(self, pairs: DataFrame, name: str, sets: DataFrame | None = None) -> DataFrame:
         """The pairs whose full sets are similar enough."""
         if sets is None:
-            sets = self._sets(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), name)
+            sets = self._sets(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))), name)
         left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
         right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
         both = pairs.join(left, "a").join(right, "b")
@@ -261,5 +261,5 @@ class NearDuplicates:
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the least of their component, with all their columns."""
     found = NearDuplicates(docs, words, percent, id_col, text_col)
-    gone = found.scratch.write(found.components().where("doc <> component").select(F.col("doc").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = found.scratch.write(found.components().where("doc <> component").select("doc").distinct(), "gone")
+    return without(docs, id_col, gone, found.scratch, "gone-filter")

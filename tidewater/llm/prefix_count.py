@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _schema, _texts, small_batches
+from .arrow import kept, map_arrow
+from .bpe import _schema, _texts
 from .naming import fresh
 from .pretoken import Splitter, Vocabulary, chunks, distinct_words
 
@@ -147,20 +148,15 @@ class PrefixCounter:
 class _Shared:
     """Broadcasts the vocabulary (bounded by its file) and opens one counter a worker."""
 
-    _open: dict[str, PrefixCounter] = {}
-
     def __init__(self, spark, path: str):
         self.path, self.shared = path, spark.sparkContext.broadcast(Vocabulary(path))
 
     def counter(self) -> PrefixCounter:
-        if self.path not in _Shared._open:
-            _Shared._open[self.path] = PrefixCounter(self.shared.value)
-        return _Shared._open[self.path]
+        return kept(f"counts {self.path}", lambda: PrefixCounter(self.shared.value))
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens of every whole text."""
-    small_batches(docs.sparkSession)
     shared = _Shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +168,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     size = F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long")
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), size.alias("n_bytes"))
-    return source.mapInArrow(run, _schema(source, ["id"], "n_bytes long, n_tokens long")).withColumnRenamed("id", id_col)
+    return map_arrow(source, run, _schema(source, ["id"], "n_bytes long, n_tokens long"), keeps=True).withColumnRenamed("id", id_col)
 
 
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", counts_col: str = "prefix_tokens") -> DataFrame:
@@ -188,7 +184,6 @@ def truncate(docs: DataFrame, path: str, budget: int, text_col: str = "text", cu
 
 
 def _with_counter(docs: DataFrame, path: str, text_col: str, field: str, name: str, of, kind: pa.DataType) -> DataFrame:
-    small_batches(docs.sparkSession)
     shared = _Shared(docs.sparkSession, path)
     keep = docs.columns
 
@@ -199,4 +194,4 @@ def _with_counter(docs: DataFrame, path: str, text_col: str, field: str, name: s
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), made], names=[*keep, name])
 
     source = docs.select(*[docs[c] for c in keep])
-    return source.mapInArrow(run, _schema(source, keep, field))
+    return map_arrow(source, run, _schema(source, keep, field), keeps=True)

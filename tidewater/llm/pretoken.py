@@ -136,7 +136,7 @@ class Splitter:
         return self.find(text)
 
 
-def chunks(texts: list[str], most: int = 4_000_000):
+def chunks(texts: list[str], most: int = 500_000):
     """Slices (from, to) of about ``most`` characters; a text is never cut."""
     start = size = 0
     for i, t in enumerate(texts):

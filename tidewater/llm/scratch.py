@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,12 @@ def shared_root(spark: SparkSession) -> str:
 class Scratch:
     """One operator call's written tables; ``drop`` removes them once the result has been read."""
 
+    _made: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        Scratch._made.append(self)
 
     def write(self, df: DataFrame, table: str, **options: str) -> DataFrame:
         """Writes ``df`` as Parquet and returns it as read back, so that a lost executor costs no recomputation."""
@@ -36,6 +41,17 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self) -> None:
+        if self in Scratch._made:
+            Scratch._made.remove(self)
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def dropped_after() -> Iterator[None]:
+    """What operators write inside the block goes at its end: results must have been stored by then."""
+    before = list(Scratch._made)
+    yield
+    for made in [s for s in Scratch._made if s not in before]:
+        made.drop()

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import small_batches
+from .arrow import map_arrow
 from .naming import fresh
 from .scratch import Scratch
 
@@ -114,9 +114,8 @@ def run_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 hashes += h
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(index, pa.int64())), pa.array(sizes, pa.int32()), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), pa.array(hashes, pa.binary())], names=["doc", "n", "first", "last", "hash"])
 
-    small_batches(docs.sparkSession)
     source = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
-    return source.mapInArrow(make, f"doc {source.schema['doc'].dataType.simpleString()}, n int, first int, last int, hash binary")
+    return map_arrow(source, make, f"doc {source.schema['doc'].dataType.simpleString()}, n int, first int, last int, hash binary")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_sentences: int = SENTENCES, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -153,5 +152,4 @@ def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col:
                 texts.append("".join(s for i, s in enumerate(sentences(text)) if i not in skip) if skip else text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(last)], names=batch.schema.names[:last])
 
-    small_batches(docs.sparkSession)
-    return joined.mapInArrow(clean, docs.schema)
+    return map_arrow(joined, clean, docs.schema)

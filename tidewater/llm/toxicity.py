@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import small_batches
+from .arrow import map_arrow
 from .naming import fresh
 from .pretoken import chunks, string_bytes
 from .scratch import Scratch
@@ -145,7 +145,6 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learns from ``labels`` (id, label 0 or 1) and the texts they name."""
-    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxic")
     train = scratch.write(_training_rows(docs, labels, id_col, text_col), "train")
 
@@ -166,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not t0 or not t1:
         rate = (t1 + 0.5) / (t0 + t1 + 1)
         return Model(np.zeros(0, np.int64), FactorizationMachine(float(np.log(rate / (1 - rate))), np.zeros(0), np.zeros((0, FACTORS))))
-    counts = train.mapInArrow(count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n0 + n1 >= 5")
+    counts = map_arrow(train, count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n0 + n1 >= 5")
     term = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
     n, whole = F.col("n0") + F.col("n1"), t0 + t1
     gain = term(F.col("n0"), n * t0 / whole) + term(F.col("n1"), n * t1 / whole) + term(t0 - F.col("n0"), (whole - n) * t0 / whole) + term(t1 - F.col("n1"), (whole - n) * t1 / whole)
@@ -181,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             ends = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(terms, pa.int32()))], names=["label", "terms"])
 
-    sample = train.mapInArrow(pick, "label int, terms array<int>").orderBy("label", "terms").toArrow()
+    sample = map_arrow(train, pick, "label int, terms array<int>").orderBy("label", "terms").toArrow()
     lists = sample["terms"].combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     rows, terms = np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy().astype(np.int64)
@@ -190,7 +189,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text: from 0 to 1, higher where a toxic label is likelier."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     (score_col,) = fresh(docs.columns, score_col)
     keep = list(docs.schema)
@@ -204,7 +202,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*(f.name for f in keep), score_col])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{score_col}` double"])
-    return docs.select(*[docs[f.name] for f in keep]).mapInArrow(run, schema)
+    return map_arrow(docs.select(*[docs[f.name] for f in keep]), run, schema)
 
 
 def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, limit: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
