@@ -7,12 +7,13 @@ intersected with the adjusted list of its second rarest word; what remains is ch
 same lists, joined on the document with a bounded distance instead of an equal start. There a window's two words are the
 rarest that do occur, so that copies with another word put in or in place of one are near; a copy in which one of the two was replaced isn't.
 
-The words of the benchmark are broadcast behind a check of their number (beyond it, the same joins run by exchange).
-Documents are never exchanged: only postings of rare words are, and matches come back combined by document.
+Words of documents meet those of the benchmark through a filter of fixed size, where they stand; what it lets pass by mistake is a posting that no
+window asks for. Documents are never exchanged, at any size of the benchmark: only postings are, and matches come back combined by document.
 
 Defined cases: null, empty and wordless texts have no words and no hits; items without words have no window; items
 of fewer words than a window are one window of what they have; equal windows of different items are searched once
-and count for each; documents that share an id share their matches; null ids match each other.
+and count for each; documents that share an id share their matches; null ids match each other. Other columns, whatever
+their names, are left alone.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom import bloom, marked, passing, without
 from .scratch import Scratch
 from .text import spaced_words, text_or_empty, word_array
 
@@ -28,13 +30,6 @@ WINDOW = 10
 DISTANCE = 3
 #: Stands in the index after the last word of every document, so that its position is the document's length.
 END = ""
-#: Test words are broadcast up to this many (some 60 MB); beyond, joins exchange.
-MOST_BROADCAST = 1_000_000
-
-
-def _bounded(small: DataFrame) -> DataFrame:
-    return F.broadcast(small) if small.count() <= MOST_BROADCAST else small
-
 
 class PhraseIndex:
     """Postings of the words that identify the windows of a benchmark."""
@@ -61,12 +56,14 @@ class PhraseIndex:
     def _tokens(self) -> DataFrame:
         """doc, words, pos, term: every word at its place, and at the end of every document the empty word ``END``."""
         words = F.when(F.col("spaced") == "", F.array(F.lit(END))).otherwise(F.split(F.concat("spaced", F.lit("  ")), "  "))
-        return self.docs.select("doc", words.alias("words")).select("doc", "words", F.posexplode("words").alias("pos", "term"))
+        # never empty, so the outer form adds no row; for the other, a filter would be inferred that splits every text again
+        return self.docs.select("doc", words.alias("words")).select("doc", "words", F.posexplode_outer("words").alias("pos", "term"))
 
     def _rarest(self) -> None:
         """For each window: its two rarest words with their offsets, by counts over all documents."""
         terms = self.scratch.write(self.windows.select(F.explode("terms").alias("term")).distinct(), "terms")
-        counts = self._tokens().select("term").join(_bounded(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        met = passing(self._tokens().select("term"), F.col("term"), bloom(terms, "term", self.scratch, "terms-filter"))
+        counts = met.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(terms, "term", "left_semi")
         counts = self.scratch.write(counts, "counts")
         each = self.windows.select("win", "terms", F.posexplode("terms").alias("offset", "term"))
         ranked = each.join(counts, "term", "left").groupBy("win", "term").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"), F.min("offset").alias("offset"), F.first("terms").alias("terms"))
@@ -80,10 +77,11 @@ class PhraseIndex:
 
     def _postings(self) -> None:
         ones = self.searched.select(F.col("one.term").alias("term"), F.col("whole").alias("rarest"))
-        twos = self.searched.where("two IS NOT NULL").select(F.col("two.term").alias("term"), F.lit(False).alias("rarest"))
-        ends = self.spark.range(1).select(F.lit(END).alias("term"), F.lit(False).alias("rarest"))
-        kept = self.scratch.write(ones.unionByName(twos).unionByName(ends).groupBy("term").agg(F.max("rarest").alias("rarest")), "kept")
-        found = self._tokens().join(_bounded(kept), "term")
+        twos = self.searched.where("two IS NOT NULL").select(F.col("two.term").alias("term"))
+        ends = self.spark.range(1).select(F.lit(END).alias("term"))
+        listed = bloom(ones.select("term").unionByName(twos).unionByName(ends), "term", self.scratch, "listed")
+        rarest = bloom(ones.where("rarest"), "term", self.scratch, "rarest")
+        found = marked(passing(self._tokens(), F.col("term"), listed), F.col("term"), rarest, "rarest")
         lead = F.greatest(F.col("pos") - (self.window - 1), F.lit(0))
         around = F.when(F.col("rarest"), F.slice("words", lead + 1, F.lit(2 * self.window - 1)))
         postings = found.select("term", "doc", F.col("pos").cast("int").alias("pos"), (F.col("pos") - lead).cast("int").alias("lead"), around.alias("around"))
@@ -148,5 +146,5 @@ def items_digest(items: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
     """The rows of ``docs`` without any window of ``benchmark``, with all their columns."""
     index = PhraseIndex(docs, benchmark, id_col=id_col, near=False, **columns)
-    hit = index.scratch.write(index.phrases().select(F.col("doc").alias("_hit")).distinct(), "hit")
-    return docs.join(hit, docs[id_col].eqNullSafe(F.col("_hit")), "left_anti")
+    hit = index.scratch.write(index.phrases().select("doc").distinct(), "hit")
+    return without(docs, id_col, hit, index.scratch, "hit-filter")
