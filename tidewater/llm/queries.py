@@ -147,11 +147,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op10_sql() -> str:
-    from .license_scan import PHRASES, TEMPLATES, THRESHOLD, template_plans
+    from .license_scan import PHRASES, TEMPLATES, THRESHOLD, block_span, template_plans
 
-    sets = ", ".join(f"('{n}', {sorted(set(t.split(' ')))!r}, {template_plans({n: t}, {}, THRESHOLD)[n][1]})" for n, t in TEMPLATES.items())
+    sets = ", ".join(f"('{label}', {words!r}, {need})" for label, words, need, _ in template_plans(TEMPLATES, {}, THRESHOLD))
     phrases = ", ".join(f"('{p}', '{label}', {p.split(' ')!r})" for p, label in PHRASES.items())
-    low, word = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    span, word, gap = block_span(TEMPLATES), r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n"
+    low = "translate(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(13), 'abcdefghijklmnopqrstuvwxyz' || chr(10))"
+    filled = lambda blocks: f"list_filter(list_transform({blocks}, lambda x: regexp_extract_all(x, '{word}')), lambda x: len(x) > 0)"
     return rf"""
 WITH d AS (SELECT doc_id, {low} AS low, regexp_extract_all({low}, '{word}') AS w FROM documents),
 phrases(phrase, label, p) AS (VALUES {phrases}),
@@ -160,7 +162,11 @@ places AS (
   SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS pos
   FROM d, phrases WHERE contains(low, split_part(phrase, ' ', 1))),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels FROM places GROUP BY doc_id),
-blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[\n\r]+')), '{word}')) AS b FROM d),
+cut AS (
+  SELECT doc_id, {filled(f"regexp_split_to_array(low, '{gap}')")} AS paragraphs, {filled("string_split(low, chr(10))")} AS lines,
+         list_transform(range(greatest(ceil(len(w) / {span})::BIGINT - 2, 0) + 1), lambda k: w[k * {span} + 1:(k + 2) * {span}]) AS windows
+  FROM d),
+blocks AS (SELECT doc_id, list_distinct(unnest(CASE WHEN len(paragraphs) > 1 THEN paragraphs WHEN len(lines) > 1 THEN list_concat(lines, windows) ELSE lines END)) AS b FROM cut),
 more AS (
   SELECT doc_id, list_distinct(list(template)) AS labels, max(len(list_intersect(b, t)) / len(t)) AS score
   FROM blocks, templates WHERE len(list_intersect(b, t)) >= need GROUP BY doc_id)
@@ -175,13 +181,6 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 OP10_SQL = _op10_sql()
 
 
-def op10_wrapped_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``op10_license_scan`` with paragraphs and windows of lines as blocks, where its SQL has single lines."""
-    from .license_scan import scan
-
-    return scan(_table(spark, sf_dir, "documents"), wrapped=True)
-
-
 def op5_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document that loses sentences; documents that lose none have no row."""
     from .span_dedup import repeated_sentences
