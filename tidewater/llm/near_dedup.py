@@ -247,7 +247,8 @@ class NearDuplicates:
         both = pairs.join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - F.col("common")
-        linked = both.withColumn("common", common).where(F.col("common") * 100 >= union * self.percent).select("a", "b").distinct()
+        # not made distinct: that would bind the join to its keys, and a hot one couldn't be split
+        linked = both.withColumn("common", common).where(F.col("common") * 100 >= union * self.percent).select("a", "b")
         return self.scratch.write(linked, f"{name}-links")
 
     def components(self) -> DataFrame:
