@@ -80,13 +80,17 @@ def test_lexicon_is_mapped_from_the_broadcast_file(spark):
     assert spark.sparkContext.parallelize([0], 1).mapPartitions(look).collect() == [(True, True, True, False)]
 
 
-def test_small_memory_bounds_change_nothing(vocabulary, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 500)
-    encoder = bpe.Encoder(vocabulary, bpe.Lexicon.build([], vocabulary.merge))
-    texts = [" ".join(f"word{i * j % 97}" for j in range(200)) for i in range(5)] + ["<|endoftext|>"]
-    ids, ends = encoder.encode(texts)
-    for i, text in enumerate(texts):
-        assert ids[ends[i] : ends[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+def test_words_merged_together_are_merged_as_one_by_one(vocabulary):
+    pick = np.random.default_rng(2)
+    letters = ["e", "t", "th", "ing", "é", "中", " ", "0", "x", "\n", "😀"]
+    words = ["", "a", "<|endoftext|>", "<|endoftext", "z" * 49, "ab" * 300] + ["".join(pick.choice(letters, pick.integers(1, 40))) for _ in range(800)]
+    raw = [w.encode() for w in words]
+    ends = np.cumsum([len(w) for w in raw])
+    ids, counts = vocabulary.merge_many(np.frombuffer(b"".join(raw), np.uint8), ends - [len(w) for w in raw], np.array([len(w) for w in raw]))
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    for i, w in enumerate(words):
+        want = [vocabulary.special[w]] if w in vocabulary.special else vocabulary.merge(raw[i])
+        assert ids[cuts[i] : cuts[i + 1]].tolist() == want, w
 
 
 def test_empty_table(spark, awkward):

@@ -6,7 +6,7 @@ is its index into a table of id sequences. Words share prefixes and suffixes, so
 puts one file of it on each host, and removes it; the workers of the host all map that file into memory, read-only, and none loads a copy.
 
 *Encoding*: the distinct words of a chunk of texts walk the automaton together, one array step for each byte. Words it
-doesn't hold are merged exactly, pair by pair in rank order, and remembered up to ``REMEMBERED`` bytes. *Decoding* joins the bytes of the ids.
+doesn't hold are merged exactly, pair by pair in rank order, all words of a chunk together. *Decoding* joins the bytes of the ids.
 
 Defined cases: null counts as the empty text, which has no ids; special strings inside texts get their special ids, as
 the library does; texts of any length are cut only between words. Unknown ids can't be decoded and raise. Repeated rows and null
@@ -36,10 +36,6 @@ from .scratch import Scratch
 MIN_SHARE = 2.5e-6
 #: Longer words are left to merging.
 MAX_WORD_BYTES = 32
-#: Bytes of merged words a worker remembers; beyond, it starts afresh. Bounds memory, never results.
-REMEMBERED = 24_000_000
-#: About what Python needs for a remembered word beside its bytes.
-_EACH = 180
 #: Partial counts a task holds; beyond, they are passed on. Bounds memory, never results.
 HELD_COUNTS = 200_000
 #: Stands at the start of a lexicon's bytes.
@@ -189,7 +185,6 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.splitter = Splitter(vocabulary)
-        self._forget()
         self.token_bytes = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
         self.token_lengths = np.array([len(t) for t in vocabulary.tokens], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
@@ -200,7 +195,7 @@ class Encoder:
         found = self.lexicon.find(data, offsets)
         first, ids = np.asarray(self.lexicon.first), np.asarray(self.lexicon.ids)
         new = np.nonzero(found < 0)[0]
-        merged, sizes = self._merged(data.tobytes(), offsets[new].tolist(), offsets[new + 1].tolist())
+        merged, sizes = self.vocabulary.merge_many(data, offsets[new], np.diff(offsets)[new])
         known = np.maximum(found, 0)
         starts = first[known]
         lengths = (first[known + 1] if len(first) > 1 else starts) - starts
@@ -212,24 +207,6 @@ class Encoder:
         sums = np.concatenate([[0], np.cumsum(lengths_in_order)])
         return out, sums[ends]
 
-    def _forget(self) -> None:
-        self.merged = {s.encode(): np.array([i], np.int32).tobytes() for s, i in self.vocabulary.special.items()}
-        self.held = 0
-
-    def _merged(self, raw: bytes, starts: list[int], ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words outside the lexicon, one after the other, and how many each has. Words stay at hand, for they come again."""
-        merge, out = self.vocabulary.merge, []
-        for a, b in zip(starts, ends, strict=True):
-            word = raw[a:b]
-            ids = self.merged.get(word)
-            if ids is None:
-                if self.held > REMEMBERED:
-                    self._forget()
-                ids = self.merged[word] = np.array(merge(word), np.int32).tobytes()
-                self.held += len(word) + len(ids) + _EACH
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32), np.array([len(x) // 4 for x in out], np.int64)
-
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """The texts of id runs ids[ends[i] : ends[i + 1]]; bytes that aren't UTF-8 become replacement characters."""
         lengths = self.token_lengths[ids]

@@ -62,6 +62,9 @@ def split_pattern(path: str) -> tuple[str, frozenset[str]]:
 class Vocabulary:
     """A byte-level BPE vocabulary read from a tokenizers file; small enough to broadcast (bounded by the file)."""
 
+    #: Longer words are merged one by one.
+    WIDEST = 48
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -73,47 +76,133 @@ class Vocabulary:
             self.tokens[i] = bytes(letters[c] for c in token) if token not in self.special else token.encode()
         for token, i in self.special.items():
             self.tokens[i] = token.encode()
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        #: The rank of each pair that can be joined, by left * 2 ** 32 + right; and by rank the id it becomes.
+        self.ranks: dict[int, int] = {}
+        self.joined: list[int] = []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs[ids[a], ids[b]] = (rank, ids[a + b])
+            self.ranks[ids[a] << 32 | ids[b]] = rank
+            self.joined.append(ids[a + b])
         self.single = [ids[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         self.pattern, self.odd = split_pattern(path)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the pair of least rank, leftmost first, is joined until none is left."""
         ids = [self.single[b] for b in word]
-        if len(ids) > 48:
+        if len(ids) > self.WIDEST:
             return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                found = pairs.get((ids[i], ids[i + 1]))
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
+        rank, joined, none = self.ranks.get, self.joined, len(self.joined)
+        ranks = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            ids[at : at + 2] = [best[1]]
+            i = ranks.index(least)
+            ids[i : i + 2] = [joined[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] << 32 | ids[i], none)
+            if i < len(ranks):
+                ranks[i] = rank(ids[i] << 32 | ids[i + 1], none)
         return ids
 
+    @functools.cached_property
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As arrays: the id of each byte; the rank of each pair of bytes; all pairs, sorted, and their ranks."""
+        single = np.array(self.single, np.int64)
+        keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(keys)
+        pairs, ranks = keys[order], np.fromiter(self.ranks.values(), np.int32, len(keys))[order]
+        return single.astype(np.int32), self._ranks_of(pairs, ranks, np.repeat(single, 256), np.tile(single, 256)).reshape(256, 256), pairs, ranks
+
+    def _ranks_of(self, pairs: np.ndarray, ranks: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids; of those that can't be joined, the number of ranks."""
+        if not len(pairs):
+            return np.zeros(len(left), np.int32)
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        return np.where(pairs[at] == key, ranks[at], np.int32(len(self.joined)))
+
+    def merge_many(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words data[start : start + length], one after the other, and how many each has.
+
+        Each step joins in every word its pair of least rank, the leftmost of equals, as ``merge`` does. Special strings become their ids.
+        """
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, their ids in rows, how many are ids
+        plain = np.ones(len(starts), bool)
+        for text, i in self.special.items():
+            raw = np.frombuffer(text.encode(), np.uint8)
+            same = np.nonzero(lengths == len(raw))[0]
+            same = same[(data[starts[same][:, None] + np.arange(len(raw))] == raw).all(axis=1)]
+            plain[same] = False
+            done.append((same, np.full((len(same), 1), i, np.int32), np.ones(len(same), np.int64)))
+        for i in np.nonzero(plain & (lengths > self.WIDEST))[0].tolist():
+            ids = np.array([self.merge(data[starts[i] : starts[i] + lengths[i]].tobytes())], np.int32)
+            done.append((np.array([i]), ids, np.array([ids.shape[1]])))
+        for least, most in ((-1, 6), (6, 10), (10, 16), (16, 28), (28, self.WIDEST)):
+            words = np.nonzero(plain & (lengths > least) & (lengths <= most))[0]
+            if len(words):
+                self._merge_rows(data, starts[words], lengths[words], words, done)
+        counts = np.zeros(len(starts), np.int64)
+        for words, _, sizes in done:
+            counts[words] = sizes
+        ends = np.cumsum(counts)
+        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        for words, rows, sizes in done:
+            at = np.arange(rows.shape[1])
+            real = at < sizes[:, None]
+            out[((ends - counts)[words][:, None] + at)[real]] = rows[real]
+        return out, counts
+
+    def _merge_rows(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, words: np.ndarray, done: list) -> None:
+        single, of_bytes, pairs, of_pairs = self._tables
+        joined, none = np.array(self.joined, np.int32), np.int32(len(self.joined))
+        width = max(int(lengths.max()), 1)
+        at = np.arange(width + 1)
+        raw = data[np.minimum(starts[:, None] + at, max(len(data) - 1, 0))] if len(data) else np.zeros((len(words), width + 1), np.uint8)
+        ids = np.where(at < lengths[:, None], single[raw], np.int32(-1))
+        ranks = np.where(at[1:] < lengths[:, None], of_bytes[raw[:, :-1], raw[:, 1:]], none)
+        ranks = np.concatenate([ranks, np.full((len(words), 1), none, np.int32)], axis=1)
+        while len(words):
+            best = ranks.argmin(axis=1)
+            row = np.arange(len(words))
+            least = ranks[row, best]
+            live = least < none
+            if not live.all():
+                out = ~live
+                done.append((words[out], ids[out], lengths[out]))
+                words, ids, ranks, lengths, best, least = words[live], ids[live], ranks[live], lengths[live], best[live], least[live]
+                row = row[: len(words)]
+                if not len(words):
+                    return
+            after = np.minimum(at + (at > best[:, None]), width)
+            ids = np.take_along_axis(ids, after, axis=1)
+            ranks = np.take_along_axis(ranks, np.minimum(at + (at >= best[:, None]), width), axis=1)
+            lengths = lengths - 1
+            ids[row, best] = joined[least]
+            inner = best > 0
+            ranks[row[inner], best[inner] - 1] = self._ranks_of(pairs, of_pairs, ids[row[inner], best[inner] - 1], ids[row[inner], best[inner]])
+            inner = best < lengths - 1
+            ranks[row[inner], best[inner]] = self._ranks_of(pairs, of_pairs, ids[row[inner], best[inner]], ids[row[inner], best[inner] + 1])
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and links: n log n, for words of any length."""
         n = len(ids)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(f[0], i, ids[i], ids[i + 1], f[1]) for i in range(n - 1) if (f := self.pairs.get((ids[i], ids[i + 1])))]
+        rank = self.ranks.get
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            least, i, a, b = heapq.heappop(heap)
             j = after[i] if alive[i] else n
             if not alive[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], after[i] = new, False, after[j]
+            ids[i], alive[j], after[i] = self.joined[least], False, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (f := self.pairs.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (f[0], left, ids[left], ids[right], f[1]))
+                if left >= 0 and right < n and (r := rank(ids[left] << 32 | ids[right])) is not None:
+                    heapq.heappush(heap, (r, left, ids[left], ids[right]))
         return [x for x, keep in zip(ids, alive, strict=True) if keep]
 
 
