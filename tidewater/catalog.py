@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import control, gates, histories, increments, registry, rules, star, storage  # noqa: F401
+from .plans import control, gates, histories, increments, registry, rules, star, states, storage  # noqa: F401
 
 
 def queries() -> dict:

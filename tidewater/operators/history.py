@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hashed
+from ..sources.workspace import shared_folder
 from .state import any_of, latest
 
 TECHNICAL = ("version_hash", "valid_from", "valid_to", "is_current", "valid_from_source", "source_snapshot")
@@ -86,7 +88,9 @@ def classify_snapshot(snapshots: DataFrame, policy: HistoryPolicy, day: date) ->
     today = snapshots.where(F.col(at) == F.lit(day))
     older = snapshots.where(F.col(at) < F.lit(day))
     previous = older.agg(F.max(at).alias("_prev"))
-    last = latest(older, [key], at)
+    # one row a key, combined in each task before the exchange; no key's past is sorted
+    rows = F.struct(at, *policy.type2, *policy.type1)
+    last = older.groupBy(key).agg(F.max_by(rows, F.col(at)).alias("_row")).select(key, "_row.*")
     attributes = [*policy.type2, *policy.type1]
     held = last.select(F.col(key).alias("_key"), F.col(at).alias("_at"), hashed(*policy.type2).alias("_hash"), *[F.col(c).alias(f"_{c}") for c in attributes])
     both = today.withColumn("version_hash", hashed(*policy.type2)).withColumn("_here", F.lit(1)).join(held, F.col(key) == F.col("_key"), "full_outer").join(F.broadcast(previous), F.lit(True))
@@ -107,8 +111,13 @@ def apply_snapshot(target: DataFrame, snapshots: DataFrame, policy: HistoryPolic
     repeated = snapshots.where(F.col(policy.snapshot) == F.lit(day)).groupBy(key).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"snapshot {day} has repeated keys")
-    classes = classify_snapshot(snapshots, policy, day)
-    held = target.groupBy(key).agg(F.max("valid_from").alias("_top"), F.max("source_snapshot").alias("_seen"), F.collect_set(F.struct("valid_from", "version_hash")).alias("_versions"))
+    # written: a few rows a day, which the steps below read many times
+    moved = classify_snapshot(snapshots, policy, day).where(F.col("class").isin("new", "type2", "type1"))
+    folder = f"{shared_folder(moved.sparkSession)}/classes-{uuid.uuid4().hex[:12]}"
+    moved.write.parquet(folder)
+    classes = moved.sparkSession.read.schema(moved.schema).parquet(folder)
+    touched = classes.where(F.col("class").isin("new", "type2")).select(key)
+    held = target.join(touched, key, "left_semi").groupBy(key).agg(F.max("valid_from").alias("_top"), F.max("source_snapshot").alias("_seen"), F.collect_set(F.struct("valid_from", "version_hash")).alias("_versions"))
     events = classes.where(F.col("class").isin("new", "type2")).join(held, key, "left")
     events = events.where(~((F.col("class") == "new") & F.coalesce(F.col("_seen") >= F.lit(day), F.lit(False))))
     at, source = _choose(F.col("class") == "new", _trusted(policy, policy.initial), _trusted(policy, policy.changes))
@@ -129,10 +138,12 @@ def apply_snapshot(target: DataFrame, snapshots: DataFrame, policy: HistoryPolic
         *policy.columns, "version_hash", F.when(late, snapshot).otherwise(F.col("_at")).alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"),
         F.when(late, F.lit("snapshot")).otherwise(F.col("_source")).alias("valid_from_source"), F.to_date(policy.snapshot).alias("source_snapshot"),
     )
-    closed = target.unionByName(fresh)
+    # only keys that get a version are ordered anew; all other versions stay as they stand
+    rest = target.join(fresh.select(key), key, "left_anti")
+    closed = target.join(fresh.select(key), key, "left_semi").unionByName(fresh)
     valid_to = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from", "source_snapshot"))
     closed = closed.withColumn("valid_to", valid_to).withColumn("is_current", F.col("valid_to").isNull())
-    return spread_type1(closed, classes.where(F.col("class").isin("type1", "type2")), policy)
+    return spread_type1(rest.unionByName(closed), classes.where(F.col("class").isin("type1", "type2")), policy)
 
 
 def spread_type1(history: DataFrame, rows: DataFrame, policy: HistoryPolicy) -> DataFrame:
@@ -159,6 +170,34 @@ def invariants(history: DataFrame, policy: HistoryPolicy) -> DataFrame:
     return as_checks(w, rules)
 
 
+def validate_history(history: DataFrame, snapshots: DataFrame, policy: HistoryPolicy) -> DataFrame:
+    """check, failures, passed of a history against the snapshots it comes from; with ``invariants``, the whole of what a history must keep.
+
+    One aggregate of either by key and one join of the two.
+    """
+    key, at = policy.key, policy.snapshot
+    order = Window.partitionBy(key).orderBy(at)
+    hashes = snapshots.withColumn("_hash", hashed(*policy.type2)).withColumn("_before", F.lag("_hash").over(order))
+    point = F.col("_before").isNull() | (F.col("_before") != F.col("_hash"))
+    type1 = lambda: F.struct(F.lit(0), *policy.type1)
+    seen = hashes.groupBy(F.col(key).alias("_of")).agg(
+        F.min(at).alias("_first"), F.max(at).alias("_last"), F.max_by("_hash", at).alias("_newest"), F.max_by(type1(), F.col(at)).alias("_type1"), F.sum(point.cast("long")).alias("_points"), F.collect_set(F.when(point, F.to_date(at))).alias("_days"),
+    )
+    held = history.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("is_current"), F.col("version_hash"))).alias("_current"), F.min(type1()).alias("_least1"), F.max(type1()).alias("_most1"), F.min("source_snapshot").alias("_from"),
+        F.max("valid_from").alias("_top"), F.count_if(F.col("source_snapshot").isNull()).alias("_no_snapshot"), F.countDistinct("source_snapshot").alias("_snapshots"), F.collect_set("source_snapshot").alias("_sources"),
+        F.count_if(F.to_date("valid_from") > F.col("source_snapshot")).alias("_after"),
+    )
+    both = held.join(seen, F.col(key) == F.col("_of"), "full_outer").join(F.broadcast(snapshots.agg(F.max(at).cast("timestamp").alias("_end"))), F.lit(True))
+    here = F.col("_of").isNotNull() & F.col(key).isNotNull()
+    rules = {
+        "keys_complete": F.col(key).isNull(), "keys_known": F.col("_of").isNull(), "versions_of_snapshots": here & (F.col("_n") != F.col("_points")), "change_days": here & (F.size(F.array_except("_days", "_sources")) > 0),
+        "current_is_last_observation": here & ~F.col("_current").eqNullSafe(F.col("_newest")), "type1_of_last_observation": here & ~F.col("_most1").eqNullSafe(F.col("_type1")), "type1_on_all_versions": here & ~F.col("_least1").eqNullSafe(F.col("_most1")),
+        "first_snapshot": here & (F.col("_from") != F.to_date("_first")), "source_snapshot_known": F.col("_no_snapshot") > 0, "one_version_a_snapshot": F.col("_snapshots") != F.col("_n"), "not_after_its_snapshot": F.col("_after") > 0, "not_after_last_snapshot": F.col("_top") > F.col("_end"),
+    }
+    return as_checks(both, rules)
+
+
 def as_checks(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """check, failures for conditions that count a row as a failure: one aggregate for all."""
     row = df.agg(*[F.coalesce(F.sum(F.coalesce(c, F.lit(False)).cast("long")), F.lit(0)).alias(n) for n, c in rules.items()])

@@ -63,14 +63,18 @@ class Watermarks:
         return True
 
     def move(self, entity: str, expect: str, status: str, committed: date | None, candidate: date | None) -> None:
-        """Compare and set."""
-        row = self.get(entity)
+        """Compare and set: commits on the version it has looked at, so of two movers one fails."""
+        version, df = self.table.newest()
+        rows = df.where(F.col("entity") == entity).take(2)
+        row = rows[0] if len(rows) == 1 else None
         if row is None or row["status"] != expect:
             raise StateError(f"{entity} is {row and row['status']}, not {expect}")
         if status not in TRANSITIONS[expect]:
             raise StateError(f"{expect} can't become {status}")
         value = lambda d: F.lit(d).cast("date")
-        self.table.update((F.col("entity") == entity) & (F.col("status") == expect), {"status": F.lit(status), "committed": value(committed), "candidate": value(candidate), "updated_at": F.current_timestamp()})
+        new = {"status": F.lit(status), "committed": value(committed), "candidate": value(candidate), "updated_at": F.current_timestamp()}
+        moved = df.select(*[F.when(F.col("entity") == entity, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in df.columns])
+        self.table.overwrite(moved, f"{entity} {status}", version)
 
 
 @dataclass
@@ -179,6 +183,37 @@ def repair_open_days(target: DataFrame, rebuilt: DataFrame, keys: list[str], day
     return merged.where(~F.coalesce(F.col(day_column) > F.lit(cutoff), F.lit(False)))
 
 
+def verify_repair(rebuilt: DataFrame, before: DataFrame, after: DataFrame, keys: list[str], day_column: str, cutoff: date) -> DataFrame:
+    """check, failures, passed: the rebuilt rows are there, no row of an open day is, and rows that weren't rebuilt are as they were."""
+    checks = compare_batch(rebuilt, after, keys)
+    count = lambda name, df: df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("failures"), (F.count(F.lit(1)) == 0).alias("passed"))
+    open_ = after.where(F.col(day_column) > F.lit(cutoff))
+    rest = before.where(~F.coalesce(F.col(day_column) > F.lit(cutoff), F.lit(False))).join(rebuilt.select(*keys), keys, "left_anti").select(*after.columns)
+    return checks.unionByName(count("open_day_rows", open_)).unionByName(count("untouched_changed", rest.exceptAll(after)))
+
+
+def repair_maturity(pipeline: FactPipeline, cutoff: date) -> DataFrame:
+    """Takes back what open days have left in a committed fact: marks the repair, replays, verifies, commits; a failed check restores the version before.
+
+    A repair that broke off is taken up again by the same call.
+    """
+    row, keys, day = pipeline.watermarks.get(pipeline.entity), pipeline.keys, pipeline.day_column
+    if row is None or row["status"] not in (COMMITTED, REPAIR) or (row["status"] == REPAIR and row["candidate"] != cutoff):
+        raise StateError(f"{pipeline.entity} can't be repaired to {cutoff} as {row and row['status']}")
+    if row["status"] == COMMITTED:
+        pipeline.watermarks.move(pipeline.entity, COMMITTED, REPAIR, row["committed"], cutoff)
+    rebuilt = pipeline.expected(None, cutoff)
+    version, before = pipeline.target.newest()
+    pipeline.target.overwrite(repair_open_days(before, rebuilt, keys, day, cutoff), "repair", version)
+    checks = verify_repair(rebuilt.select(*before.columns), before, pipeline.target.read(), keys, day, cutoff)
+    failed = checks.where("NOT passed").collect()
+    if failed:
+        pipeline.target.restore(version)
+        raise StateError(f"{pipeline.entity}: {[tuple(r) for r in failed]}")
+    pipeline.watermarks.move(pipeline.entity, REPAIR, COMMITTED, cutoff, None)
+    return checks
+
+
 def restore_contaminated(target: DataFrame, history: DataFrame, keys: list[str], day_column: str, cutoff: date) -> DataFrame:
     """Only ids whose state comes from a day after ``cutoff`` go back to their last state up to it; those without one go."""
     bad = F.coalesce(F.col(day_column) > F.lit(cutoff), F.lit(False))

@@ -53,6 +53,10 @@ class Manifest:
     def _known(self, status: str) -> DataFrame:
         return self.table.read().where(F.col("status") == status)
 
+    def states(self, watermark: date) -> DataFrame:
+        """day, state of every day up to ``watermark``: what is committed against what is there now."""
+        return compare(self._known("COMMITTED"), self._observed(None, watermark))
+
     def bootstrap(self, watermark: date) -> None:
         """Takes what is there up to ``watermark`` as committed; if there is a manifest, verifies it instead."""
         if self.table.exists():

@@ -63,9 +63,25 @@ def volume(built: DataFrame, source: DataFrame, least_percent: int = 99, name: s
     return a.join(b, F.lit(True)).select(F.lit(name).alias("check"), F.when(bad, F.col("b") - F.col("a")).otherwise(0).cast("long").alias("failures"), (~bad).alias("passed"))
 
 
+def fact_checks(fact: DataFrame, key: str, required: str, rules: dict[str, Column], source: DataFrame, least_percent: int = 99, most_null: float = 0.01) -> DataFrame:
+    """Unique and known ``key``, row ``rules``, volume against ``source`` and the rate of nulls in ``required``: the fact is read once, grouped by its key."""
+    each = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(required).isNull()).alias("_null"), *[F.count_if(c).alias(f"_rule_{i}") for i, c in enumerate(rules.values())])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    row = each.agg(
+        F.count_if((F.col("_n") > 1) & F.col(key).isNotNull()).alias("_twice"), total(F.when(F.col(key).isNull(), F.col("_n"))).alias("_unknown"), total(F.col("_n")).alias("_rows"), total(F.col("_null")).alias("_null"),
+        *[total(F.col(f"_rule_{i}")).alias(f"_rule_{i}") for i in range(len(rules))],
+    ).join(source.agg(F.count(F.lit(1)).alias("_source")), F.lit(True))
+    short, holes = F.col("_rows") * 100 < F.col("_source") * least_percent, F.col("_null") > F.col("_rows") * F.lit(most_null).cast("decimal(10,6)")
+    failures = {f"unique:{key}": F.col("_twice"), f"not_null:{key}": F.col("_unknown")} | {name: F.col(f"_rule_{i}") for i, name in enumerate(rules)}
+    failures |= {"volume": F.when(short, F.col("_source") - F.col("_rows")).otherwise(0), f"null_rate:{required}": F.when(holes, F.col("_null")).otherwise(0)}
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("check"), c.cast("long").alias("failures")) for n, c in failures.items()]))
+    return row.select(pairs.alias("p")).select("p.check", "p.failures", (F.col("p.failures") == 0).alias("passed"))
+
+
 def reconcile(eligible: DataFrame, built: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Exact reconciliation on the grain: missing and extra keys."""
-    return named("missing", eligible.join(built, list(keys), "left_anti")).unionByName(named("extra", built.join(eligible, list(keys), "left_anti")))
+    """Exact reconciliation on the grain: missing and extra keys, by one join of the two sides."""
+    a, b = eligible.select(*keys, F.lit(True).alias("_want")), built.select(*keys, F.lit(True).alias("_have"))
+    return as_checks(a.join(b, list(keys), "full_outer"), {"missing": F.col("_have").isNull(), "extra": F.col("_want").isNull()})
 
 
 def orphans(children: DataFrame, column: str, parents: DataFrame, raw_parents: DataFrame, parent_column: str) -> DataFrame:
@@ -100,6 +116,17 @@ def raw_gate(df: DataFrame, key: str, day_column: str, reference, most_days: int
     return union([recency, as_checks(df, {"null_key": F.col(key).isNull(), "null_day": F.col(day_column).isNull()}), named("repeated_in_last_day", repeated)])
 
 
+def fact_gate(marks: DataFrame, entity: str, cutoff, reference, table: DataFrame, day_column: str, days: DataFrame, most_days: int = 2) -> DataFrame:
+    """What a committed fact keeps: one watermark, at rest, at the last closed day ``cutoff``, at most ``most_days`` old; no row of an open day; files as committed.
+
+    ``marks``: entity, committed, status. ``days``: day, state, as the manifest compares them.
+    """
+    mine = marks.where(F.col("entity") == entity).agg(F.count(F.lit(1)).alias("n"), F.max("committed").alias("at"), F.min("status").alias("status"))
+    age = F.datediff(F.lit(reference).cast("date"), F.col("at"))
+    rules = {"single_watermark": F.col("n") != 1, "at_rest": ~F.col("status").eqNullSafe(F.lit("COMMITTED")), "at_the_last_closed_day": ~F.col("at").eqNullSafe(F.lit(cutoff).cast("date")), "fresh": F.coalesce(age > most_days, F.lit(True))}
+    return union([as_checks(mine, rules), named("no_open_day", table.where(F.col(day_column) > F.lit(cutoff))), named("files_as_committed", days.where("state <> 'same'"))])
+
+
 def allowlisted(df: DataFrame, columns: Sequence[str], forbidden: Sequence[str] = ()) -> DataFrame:
     """The listed columns alone; a list that names a forbidden or an absent one raises."""
     wrong = sorted({*columns} & {*forbidden}) + [c for c in columns if c not in df.columns]

@@ -15,7 +15,8 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 def changed(left: str, right: str, columns: Sequence[str]) -> Column:
     """Whether any column differs between two aliases; null equals null."""
-    return any_of([~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+    row = lambda side: F.struct(F.lit(0), *[F.col(f"{side}.{c}") for c in columns])
+    return ~row(left).eqNullSafe(row(right))
 
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:

@@ -34,9 +34,7 @@ SQL_KEPT = f"""{SQL_SALES}, {SQL_PARTS}, kept AS (SELECT md5(concat_ws('||', ord
     ("null_rate:product_key", "SELECT CASE WHEN count(*) FILTER (product_key IS NULL) > count(*) * 0.01 THEN count(*) FILTER (product_key IS NULL) ELSE 0 END FROM kept"),
 ))
 def gate_fact(r: Relations) -> DataFrame:
-    fact = kept(r)
-    rows = quality.row_checks(fact, {"not_null:sale_key": F.col("sale_key").isNull(), "null_product_key": F.col("product_key").isNull(), "negative_amount": F.col("amount") < 0})
-    return quality.union([quality.unique(fact, "sale_key"), rows, quality.volume(fact, r.sales), quality.null_rate(fact, "product_key", 0.01)])
+    return quality.fact_checks(kept(r), "sale_key", "product_key", {"null_product_key": F.col("product_key").isNull(), "negative_amount": F.col("amount") < 0}, r.sales)
 
 
 @query("gate_temporal_mapping", "QG7 J4 A7", f"WITH {SQL_PROFILE}, st AS (SELECT *, CASE WHEN order_id % 50 = 1 THEN NULL ELSE version_key END AS stored FROM prof) " + checks(

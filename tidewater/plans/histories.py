@@ -22,7 +22,7 @@ def shown(history: DataFrame) -> DataFrame:
     return history.select(*[text(c) if t in ("timestamp", "date") else F.col(c) for c, t in history.dtypes])
 
 
-@query("scd2_backfill_parts", "SCD1 SCD3 SCD5 SCD6 W2 W3", f"""WITH {SQL_PARTS}
+@query("scd2_backfill_parts", "SCD1 SCD5 W2 W3", f"""WITH {SQL_PARTS}
 SELECT part_id, flag, status, lines, version_hash, valid_from::VARCHAR AS valid_from, valid_to::VARCHAR AS valid_to, is_current, 'snapshot' AS valid_from_source, source_snapshot::VARCHAR AS source_snapshot FROM parts""")
 def scd2_backfill_parts(r: Relations) -> DataFrame:
     return shown(r.part_versions.drop("version_key"))

@@ -89,7 +89,7 @@ def maturity(r: Relations) -> DataFrame:
     return incremental.maturity_cutoff(_files(r)).select(F.col("cutoff").cast("string").alias("cutoff"))
 
 
-@query("watermark_range", "P7 INC10", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) AS d FROM usnap)
+@query("watermark_range", "P7", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) AS d FROM usnap)
 SELECT 'bounded' AS case_name, count(*)::BIGINT AS n, min(day)::VARCHAR AS first, max(day)::VARCHAR AS last FROM usnap, m WHERE day > d - 9 AND day <= d - 2
 UNION ALL SELECT 'no lower bound', count(*), min(day)::VARCHAR, max(day)::VARCHAR FROM usnap, m WHERE day <= d - 2 UNION ALL SELECT 'nothing closed', 0, NULL, NULL""")
 def watermark_range(r: Relations) -> DataFrame:
@@ -139,6 +139,6 @@ def repair_union(r: Relations) -> DataFrame:
     return _shown(incremental.merge_backfill(_user_days(r).where(number > 10), old, ["user_id"], "day"))
 
 
-@query("reference_latest_snapshot", "INC15", f"""WITH {SQL_USER_SNAPSHOTS} SELECT user_id, day::VARCHAR AS day, kind, events FROM usnap WHERE day = (SELECT max(day) FROM usnap)""")
+@query("reference_latest_snapshot", "W1", f"""WITH {SQL_USER_SNAPSHOTS} SELECT user_id, day::VARCHAR AS day, kind, events FROM usnap WHERE day = (SELECT max(day) FROM usnap)""")
 def reference_latest(r: Relations) -> DataFrame:
     return _shown(incremental.newest_snapshot(_user_days(r), "day"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hashed
+from ..operators.running import running
 from ..operators.temporal import match_profile, point_in_time_join
 from .registry import query
 from .relations import SQL_LINES, SQL_ORDERS, SQL_PARTS, SQL_SALES, SQL_USERS, Relations, pit
@@ -42,10 +43,9 @@ SELECT version_key, part_id, trim(p_name) AS name, brand_id, trim(p_type) AS typ
 FROM parts LEFT JOIN part ON part_id = p_partkey LEFT JOIN b USING (p_brand)""")
 def dim_product_history(r: Relations) -> DataFrame:
     part = r.table("part")
-    from pyspark.sql import Window
-
-    brands = part.select(F.col("p_brand").alias("_brand")).distinct().select("_brand", F.dense_rank().over(Window.orderBy("_brand")).alias("brand_id"))
-    named = part.join(F.broadcast(brands), F.col("p_brand") == F.col("_brand"), "left")
+    brands = running(r.spark, part.select(F.lit(0).alias("_all"), F.col("p_brand").alias("_brand")).where("_brand IS NOT NULL").distinct(), ["_all"], ["_brand"], F.lit(1), r.folder("brands"))
+    brands = brands.select("_brand", F.col("running").cast("int").alias("brand_id"))
+    named = part.join(brands, F.col("p_brand") == F.col("_brand"), "left")
     out = r.part_versions.join(named, F.col("part_id") == F.col("p_partkey"), "left")
     return out.select("version_key", "part_id", F.trim("p_name").alias("name"), "brand_id", F.trim("p_type").alias("type"), "flag", "status", "lines", text("valid_from"), text("valid_to"), "is_current")
 
@@ -176,14 +176,11 @@ c AS (SELECT *, sum(revenue) OVER (PARTITION BY snapshot_date ORDER BY revenue D
 k AS (SELECT *, CASE WHEN running * 10 <= total * 8 THEN 1 WHEN running * 100 <= total * 95 THEN 2 ELSE 3 END AS class_id FROM c)
 SELECT k.part_id, k.snapshot_date::VARCHAR AS snapshot_date, v.version_key AS product_key, revenue, CASE class_id WHEN 1 THEN 'A' WHEN 2 THEN 'B' ELSE 'C' END AS class FROM {pit('k', 'k.part_id', 'CAST(k.snapshot_date AS TIMESTAMP)')}""")
 def fact_abc_snapshot(r: Relations) -> DataFrame:
-    from pyspark.sql import Window
-
     yearly = r.lines.groupBy("part_id", F.make_date(F.year("shipped"), F.lit(12), F.lit(31)).alias("snapshot_date")).agg(F.sum("amount").alias("revenue"))
-    whole = Window.partitionBy("snapshot_date")
-    running, total = F.sum("revenue").over(whole.orderBy(F.desc("revenue"), "part_id").rowsBetween(Window.unboundedPreceding, 0)), F.sum("revenue").over(whole)
-    cut = F.when(running * 10 <= total * 8, 1).when(running * 100 <= total * 95, 2).otherwise(3)
+    summed = running(r.spark, yearly, ["snapshot_date"], [F.desc("revenue"), "part_id"], F.col("revenue"), r.folder("yearly"))
+    cut = F.when(F.col("running") * 10 <= F.col("total") * 8, 1).when(F.col("running") * 100 <= F.col("total") * 95, 2).otherwise(3)
     classes = r.spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "id int, name string").agg(F.map_from_entries(F.collect_list(F.struct("id", "name"))).alias("classes"))
-    marked = yearly.withColumn("class_id", cut).withColumn("at", F.col("snapshot_date").cast("timestamp")).join(F.broadcast(classes), F.lit(True))
+    marked = summed.withColumn("class_id", cut).withColumn("at", F.col("snapshot_date").cast("timestamp")).join(F.broadcast(classes), F.lit(True))
     out = point_in_time_join(marked, r.part_versions, "part_id", "at", "part_id", {"version_key": "product_key"})
     return out.select("part_id", F.col("snapshot_date").cast("string").alias("snapshot_date"), "product_key", F.col("revenue").cast("decimal(24,2)").alias("revenue"), F.try_element_at("classes", F.col("class_id")).alias("class"))
 

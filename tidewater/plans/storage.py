@@ -16,7 +16,8 @@ from ..functions.keys import table_checksum
 from ..operators.profile import file_lags
 from ..sources import raw
 from ..sources.store import VersionedTable
-from ..streaming.events import as_stream, late_aware_counts, sessions, upsert_stream
+from ..streaming.events import as_stream, late_aware_counts, upsert_stream
+from ..streaming.events import stream_sessions as session_stream
 from .histories import last_days
 from .registry import query
 from .relations import SQL_USER_SNAPSHOTS, Relations
@@ -39,7 +40,7 @@ def environment_view_scan(r: Relations) -> DataFrame:
     return raw.environment_view(r.table("events"), f"env_events_{uuid.uuid4().hex[:8]}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("versioned_table_state", "S9 S10 S11 S12 S16 S17 S18 S19 S20 S22 S23 S24 S25 S26", f"""WITH {SQL_USER_SNAPSHOTS}
+@query("versioned_table_state", "S9 S10 S11 S12 S16 S17 S18 S19 S20 S22 S23 S24", f"""WITH {SQL_USER_SNAPSHOTS}
 SELECT 'overwritten' AS step, count(*)::BIGINT AS n, sum(events)::BIGINT AS events FROM usnap WHERE user_id % 2 = 0
 UNION ALL SELECT 'appended', count(*), sum(events)::BIGINT FROM usnap
 UNION ALL SELECT 'updated', count(*), sum(CASE WHEN kind = 'click' THEN 0 ELSE events END)::BIGINT FROM usnap
@@ -62,13 +63,29 @@ def versioned_table_state(r: Relations) -> DataFrame:
     return out
 
 
-@query("versioned_table_history", "S21 S26 QG14")
+@query("versioned_table_history", "S21 S26", """SELECT * FROM (VALUES ('all', 0, 'overwrite', 1, 0), ('all', 1, 'append', 2, 0), ('all', 2, 'truncate', 0, 0), ('all', 3, 'restore 0', 1, 0), ('kept', 0, 'overwrite', 1, 0), ('kept', 1, 'append', 2, 0), ('kept', 2, 'truncate', 0, 0), ('kept', 3, 'restore 0', 1, 0), ('vacuumed', 3, 'restore 0', 1, 1)) AS t(step, version, operation, parts, parts_gone)""")
 def versioned_table_history(r: Relations) -> DataFrame:
+    """What the history says before a vacuum, after one that retains 720 hours, and after one that retains none."""
     table, days = VersionedTable(r.spark, r.folder("history")), _days(r)
     table.overwrite(days)
     table.append(days)
-    table.vacuum(keep_versions=2)
-    return table.history()
+    table.truncate()
+    table.restore(0)
+    shown = lambda step, gone: table.history().select(F.lit(step).alias("step"), F.col("version").cast("int"), "operation", "parts", F.lit(gone).alias("parts_gone"))
+    before = shown("all", 0)
+    kept = shown("kept", table.vacuum())
+    return before.unionByName(kept).unionByName(shown("vacuumed", table.vacuum(retain_hours=0)))
+
+
+@query("clustered_files_skipped", "S25", f"""WITH {SQL_USER_SNAPSHOTS} SELECT count(*)::BIGINT AS n, true AS fewer_files FROM usnap WHERE user_id < 10""")
+def clustered_files_skipped(r: Relations) -> DataFrame:
+    """After clustering, the ranges in the footers let a filter on the key pass over files."""
+    table = VersionedTable(r.spark, r.folder("clustered"))
+    table.overwrite(_days(r).repartition(8, "day"))
+    table.compact(["user_id", "day"], files=8)
+    files = table.read().groupBy(F.input_file_name().alias("file")).agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))
+    met = files.agg((F.count_if(F.col("low") < 10) < F.count(F.lit(1))).alias("fewer_files"))
+    return table.read().where("user_id < 10").agg(F.count(F.lit(1)).alias("n")).join(met, F.lit(True))
 
 
 @query("partition_pruned_month", "S6 S11 G11", """SELECT month(l_shipdate)::INT AS month, count(*)::BIGINT AS n FROM lineitem WHERE year(l_shipdate) = 1997 AND month(l_shipdate) = 3 GROUP BY 1""")
@@ -80,20 +97,39 @@ def partition_pruned_month(r: Relations) -> DataFrame:
     return table.read().where("year = 1997 AND month = 3").groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("table_checksum", "A11 S24")
+@query("table_checksum", "A11", f"""WITH {SQL_USER_SNAPSHOTS} SELECT * FROM (SELECT 'shuffled' AS step, count(*)::BIGINT AS n, true AS same FROM usnap UNION ALL SELECT 'one row changed', count(*), false FROM usnap UNION ALL SELECT 'one row twice', count(*) + 1, false FROM usnap)""")
 def checksum(r: Relations) -> DataFrame:
-    return table_checksum(_days(r))
+    """A table's checksum doesn't depend on the order of its rows, and tells one changed or repeated row."""
+    days = _days(r)
+    top = days.agg(F.max(F.struct("user_id", "day")).alias("top"))
+    one = days.join(F.broadcast(top), F.struct("user_id", "day") == F.col("top"), "left_semi")  # broadcast: one row
+    is_top = F.struct("user_id", "day") == F.col("top")
+    others = days.join(F.broadcast(top), F.lit(True)).withColumn("events", F.when(is_top, F.col("events") + 1).otherwise(F.col("events"))).select(*days.columns)
+    whole, out = table_checksum(days), None
+    base = whole.select(*[F.col(c).alias(f"base_{c}") for c in whole.columns])
+    for step, df in {"shuffled": days.repartition(7), "one row changed": others, "one row twice": days.unionByName(one)}.items():
+        got = table_checksum(df).join(base, F.lit(True))
+        same = F.struct(*whole.columns).eqNullSafe(F.struct(*[F.col(f"base_{c}").alias(c) for c in whole.columns]))
+        row = got.select(F.lit(step).alias("step"), F.col(whole.columns[0]).cast("long").alias("n"), same.alias("same"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-@query("file_metadata_scan", "S4 S5 S6 PR8")
+@query("file_metadata_scan", "S4 S5 S6", f"""WITH {SQL_USER_SNAPSHOTS} SELECT day::VARCHAR AS day, 1::BIGINT AS files, count(*)::BIGINT AS n, true AS named, true AS fresh FROM usnap GROUP BY day""")
 def file_metadata_scan(r: Relations) -> DataFrame:
+    """Files and rows of each daily extract, by the file's metadata and by the name each row comes with."""
     path = r.folder("files")
     raw.append_daily_parquet(_days(r).withColumnRenamed("day", "ingestion_date"), path)
-    files = raw.file_metadata(r.spark.read.parquet(path), F.to_date("ingestion_date").alias("day"))
-    return file_lags(files)
+    scan = r.spark.read.parquet(path)
+    lags = file_lags(raw.file_metadata(scan, F.to_date("ingestion_date").alias("day"))).select(F.col("day").alias("at"))
+    files = raw.file_metadata(scan, F.to_date("ingestion_date").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("files"), F.min("file_name").alias("file_name"), F.min(F.to_date("modified_at") > F.col("day")).alias("fresh"))
+    tagged = scan.select(F.to_date("ingestion_date").alias("of"), F.substring_index(F.input_file_name(), "/", -1).alias("tag"))
+    rows = tagged.groupBy("of").agg(F.count(F.lit(1)).alias("n"), F.max("tag").alias("tag"))
+    out = files.join(rows, F.col("day") == F.col("of")).join(lags, F.col("day") == F.col("at"), "left_semi")
+    return out.select(F.col("day").cast("string").alias("day"), "files", "n", (F.col("tag") == F.col("file_name")).alias("named"), "fresh")
 
 
-@query("manifest_files_mutation", "PM1 PM3 PM4 PM5 PM6 SD4 INC2 INC6 INC8 INC9 DC10", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) AS d FROM usnap), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC) AS rk FROM usnap, m WHERE kind <> 'error' AND day <= d - 1)
+@query("fact_cycle_state", "PM1 PM3 SD4 INC2 INC6 INC8 INC9 DC10", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) AS d FROM usnap), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC) AS rk FROM usnap, m WHERE kind <> 'error' AND day <= d - 1)
 SELECT user_id, day::VARCHAR AS day, kind, events FROM k WHERE rk = 1""")
 def fact_cycle(r: Relations) -> DataFrame:
     """A fact's whole cycle, apply, validate and commit twice, over daily files: the state it leaves behind the last closed day."""
@@ -104,21 +140,22 @@ def fact_cycle(r: Relations) -> DataFrame:
     return table.withColumn("day", F.col("day").cast("string"))
 
 
-@query("stream_windowed_counts", "S8", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
+@query("stream_windowed_counts", "", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
 def stream_windowed_counts(r: Relations) -> DataFrame:
     """Daily counts from a stream with a watermark, available-now, against the batch answer."""
     out = late_aware_counts(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in")), r.folder("counts"))
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("stream_sessions", "S8", """WITH s AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS t, lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), g AS (SELECT user_id, t, sum((p IS NULL OR t - p >= INTERVAL 30 MINUTE)::INT) OVER (PARTITION BY user_id ORDER BY t) AS s FROM s), x AS (SELECT user_id, s, count(*) AS n FROM g GROUP BY ALL)
+@query("stream_sessions", "", """WITH s AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS t, lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), g AS (SELECT user_id, t, sum((p IS NULL OR t - p >= INTERVAL 30 MINUTE)::INT) OVER (PARTITION BY user_id ORDER BY t) AS s FROM s), x AS (SELECT user_id, s, count(*) AS n FROM g GROUP BY ALL)
 SELECT user_id, count(*)::BIGINT AS sessions, max(n)::BIGINT AS longest FROM x GROUP BY user_id""")
 def stream_sessions(r: Relations) -> DataFrame:
-    found = sessions(r.table("events"), "30 minutes")
+    """Sessions from a stream of four files, against the batch answer."""
+    found = session_stream(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in"), files=4), r.folder("sessions"), "30 minutes")
     return found.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.max("n").alias("longest"))
 
 
-@query("stream_upsert_latest", "INC3 INC10", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
+@query("stream_upsert_latest", "INC3", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
 def stream_upsert_latest(r: Relations) -> DataFrame:
     """The newest event of each user, kept by a stream that merges each batch into a versioned table once."""
     table = VersionedTable(r.spark, r.folder("latest"))

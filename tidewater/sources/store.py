@@ -1,7 +1,9 @@
 """A versioned table over Parquet: each commit lists the files of a version; the newest commit file is the table.
 
-Data files are immutable and shared between versions, so append, restore and clone cost what they add. Readers see a
-version whole or not at all: a commit is one file that is renamed into place, and a second writer of the same version fails.
+Data files are immutable and shared between versions, so append, restore and truncate cost what they add. A version is one commit file,
+created under its number with overwriting forbidden: a second writer of the same version fails, as surely as the file system's
+exclusive create does (HDFS, object stores with conditional writes). A change that reads the table commits on the version it has read, so a commit in
+between makes it fail instead of being undone. Readers pass over commit files that aren't written yet.
 All paths go through Hadoop's file system, so a table can live wherever Spark writes.
 """
 
@@ -11,6 +13,7 @@ import json
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +22,12 @@ from ..functions.keys import table_checksum
 from ..operators.state import classify, upsert
 
 
+#: An empty commit file of this age is what a writer left that died; the next one takes its number.
+ABANDONED_SECONDS = 600
+#: Parts are named like partitions, so that one scan reads any number of them.
+PART = "tidewater_part"
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, partition_by: tuple[str, ...] = ()):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), tuple(partition_by)
@@ -31,7 +40,7 @@ class VersionedTable:
         log = self._Path(f"{self.path}/_log")
         if not self._fs.exists(log):
             return []
-        return sorted(int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(log) if s.getPath().getName().endswith(".json"))
+        return sorted(int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(log) if s.getPath().getName().endswith(".json") and s.getLen() > 0)
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -52,18 +61,21 @@ class VersionedTable:
         if based_on is not None and version != based_on + 1:
             raise RuntimeError(f"{self.path} has moved on from version {based_on}")
         body = {"version": version, "timestamp": time.time(), "operation": operation, "parts": parts, "schema": json.loads(schema.json()), "partition_by": list(self.partition_by)}
-        temporary = self._Path(f"{self.path}/_log/.{uuid.uuid4().hex}")
-        out = self._fs.create(temporary, False)
+        target = self._Path(f"{self.path}/_log/{version:012d}.json")
+        if self._fs.exists(target):
+            left = self._fs.getFileStatus(target)
+            if left.getLen() == 0 and time.time() - left.getModificationTime() / 1000 > ABANDONED_SECONDS:
+                self._fs.delete(target, False)
+        try:
+            out = self._fs.create(target, False)
+        except Py4JJavaError as e:
+            raise RuntimeError(f"version {version} of {self.path} was written by another") from e
         out.write(bytearray(json.dumps(body).encode()))
         out.close()
-        target = self._Path(f"{self.path}/_log/{version:012d}.json")
-        if self._fs.exists(target) or not self._fs.rename(temporary, target):
-            self._fs.delete(temporary, False)
-            raise RuntimeError(f"version {version} of {self.path} was written by another")
         return version
 
     def _write(self, df: DataFrame) -> str:
-        part = f"{self.path}/data/{uuid.uuid4().hex}"
+        part = f"{self.path}/data/{PART}={uuid.uuid4().hex}"
         writer = df.write.partitionBy(*self.partition_by) if self.partition_by else df.write
         writer.parquet(part)
         return part
@@ -74,23 +86,23 @@ class VersionedTable:
         schema = StructType.fromJson(commit["schema"])
         if not commit["parts"]:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
-        frames = [reader.option("basePath", p).parquet(p) for p in commit["parts"]]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.select(*schema.names)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*commit["parts"]).select(*schema.names)
 
     def history(self) -> DataFrame:
         rows = [(c["version"], c["timestamp"], c["operation"], len(c["parts"])) for c in map(self._commit_of, self.versions())]
         return self.spark.createDataFrame(rows, "version long, at double, operation string, parts int").withColumn("timestamp", F.timestamp_seconds("at")).drop("at")
 
     # --- writing
-    def overwrite(self, df: DataFrame, operation: str = "overwrite") -> int:
-        """A new version of ``df`` alone; its schema too. ``df`` may read this table."""
-        before = (self.versions() or [None])[-1]
+    def overwrite(self, df: DataFrame, operation: str = "overwrite", based_on: int | None = None) -> int:
+        """A new version of ``df`` alone; its schema too. A ``df`` that reads this table names the version it reads."""
+        before = (self.versions() or [None])[-1] if based_on is None else based_on
         return self._commit(operation, [self._write(df)], df.schema, before)
 
+    def newest(self) -> tuple[int, DataFrame]:
+        """The newest version and its rows."""
+        version = self._commit_of()["version"]
+        return version, self.read(version)
+
     def append(self, df: DataFrame) -> int:
         if not self.exists():
             return self.overwrite(df, "append")
@@ -101,25 +113,30 @@ class VersionedTable:
         return self._commit("append", [*commit["parts"], self._write(df.select(*schema.names))], schema, commit["version"])
 
     def upsert(self, source: DataFrame, keys: list[str]) -> int:
-        return self.overwrite(upsert(self.read(), source.select(*self.read().columns), keys), "upsert") if self.exists() else self.overwrite(source, "upsert")
+        if not self.exists():
+            return self.overwrite(source, "upsert")
+        version, df = self.newest()
+        return self.overwrite(upsert(df, source.select(*df.columns), keys), "upsert", version)
 
     def upsert_newest(self, source: DataFrame, keys: list[str], order: str) -> int:
         """Only newer rows replace; see ``classify``."""
-        moved = classify(self.read(), source, keys, order).where("action <> 'noop'").drop("action")
-        return self.overwrite(upsert(self.read(), moved, keys), "upsert newest")
+        version, df = self.newest()
+        moved = classify(df, source, keys, order).where("action <> 'noop'").drop("action")
+        return self.overwrite(upsert(df, moved, keys), "upsert newest", version)
 
     def update(self, condition: Column, values: dict[str, Column]) -> int:
         hit = F.coalesce(condition, F.lit(False))
-        df = self.read()
-        return self.overwrite(df.select(*[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]), "update")
+        version, df = self.newest()
+        return self.overwrite(df.select(*[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]), "update", version)
 
     def delete(self, condition: Column) -> int:
         """Rows for which the condition is null stay."""
-        return self.overwrite(self.read().where(~F.coalesce(condition, F.lit(False))), "delete")
+        version, df = self.newest()
+        return self.overwrite(df.where(~F.coalesce(condition, F.lit(False))), "delete", version)
 
     def truncate(self) -> int:
-        schema = StructType.fromJson(self._commit_of()["schema"])
-        return self._commit("truncate", [], schema, self._commit_of()["version"])
+        commit = self._commit_of()
+        return self._commit("truncate", [], StructType.fromJson(commit["schema"]), commit["version"])
 
     def restore(self, version: int) -> int:
         commit = self._commit_of(version)
@@ -137,20 +154,23 @@ class VersionedTable:
     # --- upkeep
     def compact(self, sort_by: list[str], files: int | None = None) -> int:
         """Rewrites by range of ``sort_by``, so that footers' minima and maxima skip files."""
-        df = self.read()
+        version, df = self.newest()
         df = df.repartitionByRange(files, *sort_by) if files else df.repartitionByRange(*sort_by)
-        return self.overwrite(df.sortWithinPartitions(*sort_by), "compact")
+        return self.overwrite(df.sortWithinPartitions(*sort_by), "compact", version)
 
-    def vacuum(self, keep_versions: int = 1) -> int:
-        """Removes old versions and data that no kept one names; returns how many data folders went."""
-        known = self.versions()
-        kept = known[-keep_versions:]
-        used = {p for v in kept for p in self._commit_of(v)["parts"]}
-        for v in known[: -len(kept)] if kept else []:
+    def vacuum(self, retain_hours: float = 720, keep_versions: int = 1) -> int:
+        """Removes versions older than ``retain_hours``, but never the last ``keep_versions``, and data of that age that no version left names.
+
+        Younger data may belong to a writer that hasn't committed yet, so 0 hours is for tables that nobody writes. Returns how many parts went.
+        """
+        known, limit = self.versions(), time.time() - retain_hours * 3600
+        old = [v for v in known[: max(0, len(known) - max(keep_versions, 1))] if self._commit_of(v)["timestamp"] <= limit]
+        used = {p for v in known if v not in old for p in self._commit_of(v)["parts"]}
+        for v in old:
             self._fs.delete(self._Path(f"{self.path}/_log/{v:012d}.json"), False)
         gone = 0
         for s in self._fs.listStatus(self._Path(f"{self.path}/data")):
-            if f"{self.path}/data/{s.getPath().getName()}" not in used:
+            if f"{self.path}/data/{s.getPath().getName()}" not in used and s.getModificationTime() / 1000 <= limit:
                 self._fs.delete(s.getPath(), True)
                 gone += 1
         return gone

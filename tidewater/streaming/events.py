@@ -46,15 +46,27 @@ def sessions(events: DataFrame, gap: str, key: str = "user_id", time_column: str
     return spans.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
+def stream_sessions(events: DataFrame, folder: str, gap: str, key: str = "user_id", time_column: str = "ts") -> DataFrame:
+    """The sessions of a stream, no event is too late; each batch's result whole: a batch that is repeated changes nothing."""
+    table = VersionedTable(events.sparkSession, f"{folder}/table")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        table.overwrite(batch, f"batch {batch_id}")
+
+    found = sessions(events, gap, key, time_column)
+    run_to_end(found.writeStream.outputMode("complete").foreachBatch(store).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+    return table.read()
+
+
 def upsert_stream(events: DataFrame, table: VersionedTable, keys: list[str], order: list[str], checkpoint: str) -> None:
     """Keeps the newest row of each key. A batch is merged by key and order, so a batch that is delivered again changes nothing."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         ranked = F.struct(*order)
-        newest = latest(batch.withColumn("_order", ranked), keys, "_order")
+        newest, version = latest(batch.withColumn("_order", ranked), keys, "_order"), None
         if table.exists():
-            held = table.read().withColumn("_order", ranked)
-            newest = upsert_newest(held, newest, keys, "_order")
-        table.overwrite(newest.drop("_order"), f"batch {batch_id}")
+            version, held = table.newest()
+            newest = upsert_newest(held.withColumn("_order", ranked), newest, keys, "_order")
+        table.overwrite(newest.drop("_order"), f"batch {batch_id}", version)
 
     run_to_end(events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
