@@ -37,6 +37,18 @@ def test_packing_balances_every_component():
     assert (sums.max(axis=0) / sums.min(axis=0) < 1.05).all()
 
 
+def test_packing_is_greedy_by_the_dot_product():
+    """The rule written out: largest first, each to the shard whose residual capacity has the highest dot product with it."""
+    pick = np.random.default_rng(6)
+    sizes = pick.integers(1, 50, size=(60, 3)).astype(float)
+    shares = [[x / t * 4 for x, t in zip(row, sizes.sum(axis=0), strict=True)] for row in sizes]
+    left, want = [[1.0] * 3 for _ in range(4)], [0] * 60
+    for i in sorted(range(60), key=lambda i: (-max(shares[i]), i)):
+        want[i] = max(range(4), key=lambda s: (round(sum(a * b for a, b in zip(left[s], shares[i], strict=True)), 12), -s))
+        left[want[i]] = [a - b for a, b in zip(left[want[i]], shares[i], strict=True)]
+    assert pack(sizes, 4).tolist() == want
+
+
 def test_empty_and_null_rows(spark, make_docs):
     assert shard(make_docs([])).count() == 0
     docs = spark.createDataFrame([(None, None), (None, ""), (3, "x"), (3, "x")], "doc_id long, text string")

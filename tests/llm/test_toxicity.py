@@ -56,3 +56,21 @@ def test_one_label_only_and_empty_tables(spark):
     assert tx.score(docs.limit(0), none).count() == 0
     clash = docs.withColumnRenamed("doc_id", "_score").selectExpr("_score", "text", "_score AS doc_id")
     assert tx.score(clash, model).columns == ["_score", "text", "doc_id", "score"]
+
+
+def test_scores_equal_the_sum_over_pairs():
+    """Written out: the bias, the weight of each term and the inner product of each pair of terms."""
+    import math
+
+    import numpy as np
+    from tidewater.llm.toxicity import FactorizationMachine
+
+    pick = np.random.default_rng(4)
+    machine = FactorizationMachine(-0.4, pick.normal(size=12), pick.normal(size=(12, 3)))
+    sets = [[], [3], [0, 5, 7], [1, 2, 3, 4, 11]]
+    rows = np.repeat(np.arange(4), [len(s) for s in sets])
+    got = machine.scores(rows, np.array([t for s in sets for t in s]), 4)
+    for k, terms in enumerate(sets):
+        z = machine.bias + sum(machine.weights[t] for t in terms)
+        z += sum(sum(a * b for a, b in zip(machine.factors[t], machine.factors[u], strict=True)) for i, t in enumerate(terms) for u in terms[i + 1 :])
+        assert abs(got[k] - 1 / (1 + math.exp(-z))) < 1e-12

@@ -31,3 +31,23 @@ def test_bad_hosts_are_blocked_and_few_labels_are_shrunk(spark):
 
 def test_empty_table(spark):
     assert ur.judge(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "page long, good int")).count() == 0
+
+
+def test_quantile_of_the_beta_distribution(spark):
+    """Against the share of draws under the quantile; and where the distribution has a closed form."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    cases = [(1.0, 1.0), (1.0, 3.0), (5.0, 1.0), (0.3, 2.0), (0.4, 0.6), (40.0, 3.0), (2000.0, 5000.0), (3e6, 1e6)]
+    rows = spark.createDataFrame(cases, "a double, b double").select("a", "b", ur.beta_quantile(F.col("a"), F.col("b"), 0.05).alias("q")).collect()
+    pick = np.random.default_rng(3)
+    for r in rows:
+        assert abs((pick.beta(r["a"], r["b"], 400_000) <= r["q"]).mean() - 0.05) < (0.002 if min(r["a"], r["b"]) >= 0.5 else 0.012), r
+        if r["a"] == 1.0:
+            assert abs(r["q"] - (1 - 0.95 ** (1 / r["b"]))) < 1e-4
+
+
+def test_repeated_pages_null_ids_and_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "a://h.com/", "x"), (1, "a://h.com/", "y"), (None, "a://h.com/p", "z")], "page_id long, url string, host string").withColumn("bound", ur.F.lit(1)).withColumn("page", ur.F.lit(2))
+    got = ur.judge(pages, spark.createDataFrame([(1, 1), (None, 0)], "page long, good int")).collect()
+    assert sorted((r["page_id"] or 0, r["host"], r["n_labelled"]) for r in got) == [(0, "h.com", 2), (1, "h.com", 2), (1, "h.com", 2)]

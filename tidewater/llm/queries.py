@@ -66,7 +66,7 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op3_sql() -> str:
-    from .url_reputation import CUTOFF, LOOSEST, RULES, TIGHTEST, TWO_LABEL_SUFFIXES, Z
+    from .url_reputation import CELLS, CUTOFF, LEVEL, LOOSEST, RULES, TIGHTEST, TWO_LABEL_SUFFIXES
 
     def fits(rule: str) -> str:
         domain, _, rest = rule.partition("/")
@@ -96,11 +96,16 @@ d1 AS (SELECT d0.*, m FROM d0 JOIN s2 USING (suffix)),
 d2 AS (SELECT domain, (m * s + k) / (n + s) AS m FROM d1, {strength("d1")}),
 h1 AS (SELECT host, n, k, m FROM h0 JOIN d2 USING (domain)),
 h2 AS (SELECT host, n, s, (m * s + k) / (n + s) AS mean FROM h1, {strength("h1")}),
-h3 AS (SELECT host, n, mean - {Z} * sqrt(mean * (1 - mean) / (n + s + 1)) AS bound FROM h2),
+h3 AS (SELECT host, n, mean * (n + s) AS a, (1 - mean) * (n + s) AS b, asin(sqrt(mean)) AS middle, 0.5 / sqrt(n + s) AS sd FROM h2),
+h4 AS (SELECT *, greatest(middle - 8 * sd, 0) AS low, (least(middle + 8 * sd, pi() / 2) - greatest(middle - 8 * sd, 0)) / {CELLS} AS step FROM h3),
+h5 AS (SELECT *, exp((2 * a - 1) * (ln(sin(low + (i + 0.5) * step)) - ln(sin(middle))) + (2 * b - 1) * (ln(cos(low + (i + 0.5) * step)) - ln(cos(middle)))) AS w FROM h4, range({CELLS}) AS c(i)),
+h6 AS (SELECT *, sum(w) OVER (PARTITION BY host ORDER BY i ROWS UNBOUNDED PRECEDING) AS cum FROM h5),
+h7 AS (SELECT *, {LEVEL} * max(cum) OVER (PARTITION BY host) AS target FROM h6),
+h8 AS (SELECT host, n, pow(sin(max(low) + max(step) * sum(CASE WHEN cum <= target THEN 1.0::DOUBLE WHEN cum - w >= target THEN 0.0::DOUBLE ELSE (target - (cum - w)) / w END)), 2) AS bound FROM h7 GROUP BY host, n),
 r AS (SELECT page_id, host, path, CASE {rule} END AS rule FROM p)
 SELECT page_id, r.host, path, rule,
        CASE {verdict} WHEN bound >= {CUTOFF} THEN 'allow' ELSE 'block' END AS verdict, n AS n_labelled, bound::DECIMAL(9, 6) AS bound
-FROM r JOIN h3 ON r.host = h3.host
+FROM r JOIN h8 ON r.host = h8.host
 """
 
 

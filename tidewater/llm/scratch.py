@@ -52,6 +52,8 @@ class Scratch:
 def dropped_after() -> Iterator[None]:
     """What operators write inside the block goes at its end: results must have been stored by then."""
     before = list(Scratch._made)
-    yield
-    for made in [s for s in Scratch._made if s not in before]:
-        made.drop()
+    try:
+        yield
+    finally:
+        for made in [s for s in Scratch._made if s not in before]:
+            made.drop()
