@@ -1,7 +1,12 @@
 """A corpus in five stages: toxic documents go, then exact copies, near copies and documents with benchmark passages; the rest is encoded.
 
 Each stage takes what its predecessor kept, is written as Parquet and read again, and filters whole rows, so all but the
-last return the columns of ``documents``. Labels are learned from the rows that aren't held out.
+last return the columns of ``documents``. Labels are learned from the rows that aren't held out. What a stage's operator writes on the way goes
+when the stage's result is stored.
+
+Defined cases: empty tables give an empty result; null and empty texts are clean, equal each other, and have no near copies, so the least id of them
+stays; of repeated rows one stays; a null id counts as an id like any other, and in near duplicates links with nothing; columns that ``documents`` has
+besides go through, whatever their names, and the ids take the name ``_ids`` where it has ``ids``.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
 from tidewater.llm.queries import tokenizer_path, toxic_labels
-from tidewater.llm.scratch import Scratch
+from tidewater.llm.scratch import Scratch, dropped_after
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with dropped_after():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
     return docs
