@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .state import any_of, latest
@@ -136,11 +137,15 @@ def validate(df: DataFrame, contract: Contract, tables: Callable[[str], DataFram
     if errors:
         raise ContractError("; ".join(errors))
     conditions, marked = column_conditions(contract), df
-    unique = [(f"unique:{c.name}", "error", (c.name,)) for c in contract.columns if c.unique]
+    listed = [tuple(r.columns or contract.grain) for r in contract.rules if r.rule == "no_duplicates"]
+    unique = [(f"unique:{c.name}", "error", (c.name,)) for c in contract.columns if c.unique and (c.name,) not in listed]
     unique += [(f"no_duplicates:{','.join(r.columns or contract.grain)}", r.severity, r.columns or contract.grain) for r in contract.rules if r.rule == "no_duplicates"]
     for i, (name, severity, keys) in enumerate(unique):
-        marked = marked.withColumn(f"_dup{i}", F.count(F.lit(1)).over(Window.partitionBy(*keys, *scope)) > 1)
-        conditions[name] = (severity, F.col(f"_dup{i}"))
+        # counted in each task before the exchange, so that a key of many rows, null too, isn't gathered; only repeated keys are joined back
+        by = list(dict.fromkeys([*keys, *scope]))
+        twice = df.groupBy(*by).agg(F.count(F.lit(1)).alias(f"_dup{i}")).where(f"_dup{i} > 1").withColumnsRenamed({c: f"_dup{i}_{c}" for c in by})
+        marked = marked.join(twice, functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_dup{i}_{c}")) for c in by]), "left")
+        conditions[name] = (severity, F.col(f"_dup{i}").isNotNull())
     for i, r in enumerate(contract.rules):
         if r.rule == "not_null":
             conditions[f"not_null:{','.join(r.columns)}"] = (r.severity, any_of([F.col(c).isNull() for c in r.columns]))

@@ -52,6 +52,20 @@ def scd2_incremental(r: Relations) -> DataFrame:
     return multiset_difference(stepped, backfill(snapshots, USERS))
 
 
+@query("scd2_every_day_equals_backfill", "SCD7 SCD8 SCD9 SCD10 SCD12 O6", "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right")
+def scd2_every_day(r: Relations) -> DataFrame:
+    """From the first of ten days on, every later day is a step: keys appear, change, go and come back on the way."""
+    raw, table = VersionedTable(r.spark, r.folder("snapshots")), VersionedTable(r.spark, r.folder("history"))
+
+    def stored(to: VersionedTable, df: DataFrame) -> DataFrame:
+        return to.read(to.overwrite(df))
+
+    days = last_days(r, 10)
+    snapshots = stored(raw, r.user_snapshots.where(F.col("day").isin(days)))
+    start = stored(table, backfill(snapshots.where(F.col("day") == F.lit(days[0])), USERS))
+    return multiset_difference(replay_days(start, snapshots, USERS, days[1:], lambda df: stored(table, df)), backfill(snapshots, USERS))
+
+
 @query("scd2_replay_is_idempotent", "PR14 SCD9 O6", "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right")
 def scd2_replay(r: Relations) -> DataFrame:
     full = backfill(r.user_snapshots, USERS)
