@@ -105,17 +105,20 @@ def classify_snapshot(snapshots: DataFrame, policy: HistoryPolicy, day: date) ->
     return out.withColumn("reappeared", reappeared).withColumn("alert", alert).withColumn("_id", F.coalesce(key, "_key")).drop(key, "_key").withColumnRenamed("_id", key)
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A few rows a day that the steps after it read many times, stored where all executors reach them."""
+    folder = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def apply_snapshot(target: DataFrame, snapshots: DataFrame, policy: HistoryPolicy, day: date) -> DataFrame:
     """``target`` after one more snapshot day. Replays change nothing; a version that can't be ordered raises."""
     key = policy.key
     repeated = snapshots.where(F.col(policy.snapshot) == F.lit(day)).groupBy(key).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"snapshot {day} has repeated keys")
-    # written: a few rows a day, which the steps below read many times
-    moved = classify_snapshot(snapshots, policy, day).where(F.col("class").isin("new", "type2", "type1"))
-    folder = f"{shared_folder(moved.sparkSession)}/classes-{uuid.uuid4().hex[:12]}"
-    moved.write.parquet(folder)
-    classes = moved.sparkSession.read.schema(moved.schema).parquet(folder)
+    classes = _written(classify_snapshot(snapshots, policy, day).where(F.col("class").isin("new", "type2", "type1")))
     touched = classes.where(F.col("class").isin("new", "type2")).select(key)
     held = target.join(touched, key, "left_semi").groupBy(key).agg(F.max("valid_from").alias("_top"), F.max("source_snapshot").alias("_seen"), F.collect_set(F.struct("valid_from", "version_hash")).alias("_versions"))
     events = classes.where(F.col("class").isin("new", "type2")).join(held, key, "left")
@@ -129,7 +132,7 @@ def apply_snapshot(target: DataFrame, snapshots: DataFrame, policy: HistoryPolic
         F.when((F.col("class") == "new") & F.col("_top").isNotNull(), "no evidence").when(replay, "replay").when(same, "collision").when(F.col("_top").isNull() | (F.col("_at") > F.col("_top")), "insert")
         .when(snapshot > F.col("_top"), "insert at snapshot").otherwise("unordered")
     )
-    events = events.withColumn("_fate", fate)
+    events = _written(events.withColumn("_fate", fate).drop("_versions"))
     bad = events.where(F.col("_fate").isin("no evidence", "collision", "unordered")).select(key, "_fate").take(5)
     if bad:
         raise ValueError(f"snapshot {day} can't be applied: {[tuple(r) for r in bad]}")
@@ -138,12 +141,10 @@ def apply_snapshot(target: DataFrame, snapshots: DataFrame, policy: HistoryPolic
         *policy.columns, "version_hash", F.when(late, snapshot).otherwise(F.col("_at")).alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"),
         F.when(late, F.lit("snapshot")).otherwise(F.col("_source")).alias("valid_from_source"), F.to_date(policy.snapshot).alias("source_snapshot"),
     )
-    # only keys that get a version are ordered anew; all other versions stay as they stand
-    rest = target.join(fresh.select(key), key, "left_anti")
-    closed = target.join(fresh.select(key), key, "left_semi").unionByName(fresh)
-    valid_to = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from", "source_snapshot"))
-    closed = closed.withColumn("valid_to", valid_to).withColumn("is_current", F.col("valid_to").isNull())
-    return spread_type1(rest.unionByName(closed), classes.where(F.col("class").isin("type1", "type2")), policy)
+    # a key gets one version a day, after all it has, so that closes the open one; nothing is ordered anew
+    new = fresh.select(F.col(key).alias("_of"), F.col("valid_from").alias("_next"))
+    closed = target.join(new, F.col(key) == F.col("_of"), "left").withColumn("valid_to", F.coalesce("valid_to", "_next")).withColumn("is_current", F.col("valid_to").isNull()).drop("_of", "_next")
+    return spread_type1(closed.unionByName(fresh), classes.where(F.col("class").isin("type1", "type2")), policy)
 
 
 def spread_type1(history: DataFrame, rows: DataFrame, policy: HistoryPolicy) -> DataFrame:
