@@ -89,3 +89,23 @@ def test_drift_classes():
     base = {"id": "string", "n": "int"}
     kinds = [classify(base, x)[0] for x in (base, base | {"m": "int"}, {"id": "string"}, {"id": "string", "n": "string"}, {"id": "string", "m": "int"})]
     assert kinds == ["no_drift", "additive", "removed_column", "type_change", "mixed_breaking"]
+
+
+def test_volume_and_rate_of_nulls(spark):
+    from tidewater.operators import quality
+
+    df = spark.createDataFrame([(i, None if i < 3 else i) for i in range(100)], "id int, v int")
+    assert [tuple(r) for r in quality.volume(df, df.unionByName(df.limit(1))).collect()] == [("volume", 0, True)]
+    assert [tuple(r) for r in quality.volume(df.limit(50), df).collect()] == [("volume", 50, False)]
+    assert [tuple(r) for r in quality.null_rate(df, "v", 0.03).collect()] == [("null_rate:v", 0, True)]
+    assert [tuple(r) for r in quality.null_rate(df, "v", 0.02).collect()] == [("null_rate:v", 3, False)]
+
+
+def test_a_column_that_a_rule_names_is_unique_once(spark):
+    from tidewater.operators.contracts import Contract, validate
+
+    spec = {"table": "t", "grain": ["id"], "columns": [{"name": "id", "type": "int", "unique": True}], "quality_rules": [{"rule": "no_duplicates", "columns": ["id"]}]}
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "id int")
+    verdict = validate(df, Contract.from_dict(spec))
+    assert [tuple(r) for r in verdict.report().collect()] == [("no_duplicates:id", "error", 4)]
+    assert [r["id"] for r in verdict.valid.collect()] == [2] and verdict.quarantine.count() == 4

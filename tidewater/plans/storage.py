@@ -140,14 +140,14 @@ def fact_cycle(r: Relations) -> DataFrame:
     return table.withColumn("day", F.col("day").cast("string"))
 
 
-@query("stream_windowed_counts", "", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
+@query("stream_windowed_counts", "2.12", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
 def stream_windowed_counts(r: Relations) -> DataFrame:
     """Daily counts from a stream with a watermark, available-now, against the batch answer."""
     out = late_aware_counts(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in")), r.folder("counts"))
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("stream_sessions", "", """WITH s AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS t, lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), g AS (SELECT user_id, t, sum((p IS NULL OR t - p >= INTERVAL 30 MINUTE)::INT) OVER (PARTITION BY user_id ORDER BY t) AS s FROM s), x AS (SELECT user_id, s, count(*) AS n FROM g GROUP BY ALL)
+@query("stream_sessions", "2.12", """WITH s AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS t, lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), g AS (SELECT user_id, t, sum((p IS NULL OR t - p >= INTERVAL 30 MINUTE)::INT) OVER (PARTITION BY user_id ORDER BY t) AS s FROM s), x AS (SELECT user_id, s, count(*) AS n FROM g GROUP BY ALL)
 SELECT user_id, count(*)::BIGINT AS sessions, max(n)::BIGINT AS longest FROM x GROUP BY user_id""")
 def stream_sessions(r: Relations) -> DataFrame:
     """Sessions from a stream of four files, against the batch answer."""
@@ -155,7 +155,7 @@ def stream_sessions(r: Relations) -> DataFrame:
     return found.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.max("n").alias("longest"))
 
 
-@query("stream_upsert_latest", "INC3", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
+@query("stream_upsert_latest", "INC3 2.12", """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1""")
 def stream_upsert_latest(r: Relations) -> DataFrame:
     """The newest event of each user, kept by a stream that merges each batch into a versioned table once."""
     table = VersionedTable(r.spark, r.folder("latest"))
