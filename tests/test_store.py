@@ -107,8 +107,8 @@ def test_raw_csv_keeps_text_and_dates_folders(spark, tmp_path):
     assert file_metadata(back, "ingestion_date").count() == 2
 
 
-def test_copies_are_verified(tmp_path):
+def test_copies_are_verified(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     (tmp_path / "a" / "b" / "x").write_text("123")
-    assert verified_copy(tmp_path / "a", tmp_path / "c") == 1
-    assert verified_move(tmp_path / "a", tmp_path / "d") == 1 and not (tmp_path / "a").exists() and (tmp_path / "d" / "b" / "x").read_text() == "123"
+    assert verified_copy(spark, tmp_path / "a", tmp_path / "c") == 1
+    assert verified_move(spark, tmp_path / "a", tmp_path / "d") == 1 and not (tmp_path / "a").exists() and (tmp_path / "d" / "b" / "x").read_text() == "123"

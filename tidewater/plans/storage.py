@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import table_checksum
 from ..operators.profile import file_lags
 from ..sources import raw
+from ..sources.control import listing, verified_copy, verified_move
 from ..sources.store import VersionedTable
 from ..streaming.events import as_stream, late_aware_counts, upsert_stream
 from ..streaming.events import stream_sessions as session_stream
@@ -129,6 +130,19 @@ def file_metadata_scan(r: Relations) -> DataFrame:
     return out.select(F.col("day").cast("string").alias("day"), "files", "n", (F.col("tag") == F.col("file_name")).alias("named"), "fresh")
 
 
+@query("verified_tree_move", "S15", f"""WITH {SQL_USER_SNAPSHOTS} SELECT count(DISTINCT day)::BIGINT AS files, count(*)::BIGINT AS n, true AS source_gone FROM usnap""")
+def verified_tree_move(r: Relations) -> DataFrame:
+    """A tree of daily files, copied and then moved; both are compared file by file."""
+    source, copy, moved = (r.folder(n) for n in ("tree", "copy", "moved"))
+    raw.append_daily_parquet(_days(r), source, "day")
+    verified_copy(r.spark, source, copy)
+    verified_move(r.spark, source, moved)
+    top = r.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    gone = not top.getFileSystem(r.spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
+    files = sum(name.endswith(".parquet") for name in listing(r.spark, moved))
+    return r.spark.read.parquet(moved).agg(F.lit(files).cast("long").alias("files"), F.count(F.lit(1)).alias("n"), F.lit(gone).alias("source_gone"))
+
+
 @query("fact_cycle_state", "PM1 PM3 SD4 INC2 INC6 INC8 INC9 DC10", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) AS d FROM usnap), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC) AS rk FROM usnap, m WHERE kind <> 'error' AND day <= d - 1)
 SELECT user_id, day::VARCHAR AS day, kind, events FROM k WHERE rk = 1""")
 def fact_cycle(r: Relations) -> DataFrame:

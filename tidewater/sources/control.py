@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 
 def read_json(path: str | Path) -> dict | None:
     p = Path(path)
@@ -67,24 +68,33 @@ class LocalFiles:
         write_json(self.root / f"{name}.json", value)
 
 
-def listing(root: str | Path) -> dict[str, int]:
-    """Relative path to size of every file under ``root``."""
-    root = Path(root)
-    return {str(p.relative_to(root)): p.stat().st_size for p in sorted(root.rglob("*")) if p.is_file()}
-
-
-def verified_copy(source: str | Path, target: str | Path) -> int:
-    """Copies a tree and compares paths and sizes; returns the number of files."""
-    shutil.copytree(source, target, dirs_exist_ok=True)
-    want, have = listing(source), listing(target)
+def listing(spark: SparkSession, root: str) -> dict[str, int]:
+    """Relative path to size of every file under ``root``, on whatever file system it is."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(root))
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base, files, out = fs.makeQualified(top).toUri().getPath().rstrip("/") + "/", fs.listFiles(top, True), {}
+    while files.hasNext():
+        f = files.next()
+        out[f.getPath().toUri().getPath().removeprefix(base)] = f.getLen()
+    return dict(sorted(out.items()))
+
+
+def verified_copy(spark: SparkSession, source: str, target: str) -> int:
+    """Copies a tree and compares paths and sizes; returns the number of files. Source and target may be on different file systems."""
+    path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = path(str(source)), path(str(target))
+    if not spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf):
+        raise OSError(f"{source} couldn't be copied")
+    want, have = listing(spark, source), listing(spark, target)
     wrong = [p for p, n in want.items() if have.get(p) != n]
     if wrong:
         raise OSError(f"{len(wrong)} files differ after the copy, first {wrong[0]}")
     return len(want)
 
 
-def verified_move(source: str | Path, target: str | Path) -> int:
+def verified_move(spark: SparkSession, source: str, target: str) -> int:
     """The source goes only after the copy has been verified."""
-    n = verified_copy(source, target)
-    shutil.rmtree(source)
+    n = verified_copy(spark, source, target)
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(source))
+    top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(top, True)
     return n
