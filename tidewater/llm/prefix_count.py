@@ -28,9 +28,9 @@ from .naming import fresh
 from .pretoken import Splitter, Vocabulary, chunks, distinct_words
 
 #: Words whose counts a worker remembers; beyond, it starts afresh. Bounds memory, never results.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Pairs of tokens whose fit a worker remembers; beyond, it starts afresh.
-REMEMBERED_FITS = 300_000
+REMEMBERED_FITS = 700_000
 
 
 class PrefixCounter:
