@@ -180,11 +180,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             ends = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(terms, pa.int32()))], names=["label", "terms"])
 
-    sample = map_arrow(train, pick, "label int, terms array<int>").orderBy("label", "terms").toArrow()
+    sample = map_arrow(train, pick, "label int, terms array<int>").toArrow()
     lists = sample["terms"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    rows, terms = np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy().astype(np.int64)
-    return Model(chosen, FactorizationMachine.fit(rows, terms, sample["label"].to_numpy().astype(float), len(chosen)))
+    sizes, flat, labels = lists.value_lengths().to_numpy(), lists.flatten().to_numpy().astype(np.int64), sample["label"].to_numpy()
+    ends = np.cumsum(sizes)
+    texts = [flat[end - size : end] for end, size in zip(ends, sizes, strict=True)]
+    # sums repeat in any fixed order of the sample, whichever tasks it came from
+    order = sorted(range(len(texts)), key=lambda i: (labels[i], texts[i].tobytes()))
+    rows, terms = np.repeat(np.arange(len(order)), sizes[order]), np.concatenate([texts[i] for i in order])
+    return Model(chosen, FactorizationMachine.fit(rows, terms, labels[order].astype(float), len(chosen)))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
