@@ -93,3 +93,29 @@ def coverage(state: DataFrame, history: DataFrame, key: str, day: str, until) ->
     both = state.select(F.col(key).alias("_k")).distinct().join(seen, F.col("_k") == F.col(key), "full_outer")
     later = F.coalesce(F.col("_first") > F.lit(until), F.lit(False))
     return both.agg(F.count_if(F.col("_k").isNotNull() & F.col(key).isNull()).alias("gone_from_raw"), F.count_if(later).alias("only_later"), F.count_if(F.col("_k").isNotNull() & ~later & F.col(key).isNotNull()).alias("covered"))
+
+
+def attribute_profile(snapshots: DataFrame, key: str, day: str, columns: Sequence[str]) -> DataFrame:
+    """attribute, nulls and distinct values on the last day, changes between a key's snapshots and keys that changed: one window and one aggregate for all attributes."""
+    order = Window.partitionBy(key).orderBy(day)
+    repeated = F.lag(day).over(order).isNotNull()
+    marked = snapshots.select(key, day, *columns, *[(repeated & ~F.col(c).eqNullSafe(F.lag(c).over(order))).alias(f"_{c}") for c in columns])
+    marked = marked.crossJoin(F.broadcast(snapshots.agg(F.max(day).alias("_last"))))
+    each = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value"), F.col(f"_{c}").alias("changed")) for c in columns])
+    rows = marked.select(F.col(key).alias("_k"), (F.col(day) == F.col("_last")).alias("_now"), F.inline(each))
+    return rows.groupBy("attribute").agg(
+        F.count_if(F.col("_now") & F.col("value").isNull()).alias("nulls"), F.countDistinct(F.when(F.col("_now"), F.col("value"))).alias("distincts"),
+        F.count_if("changed").alias("changes"), F.countDistinct(F.when(F.col("changed"), F.col("_k"))).alias("keys"),
+    )
+
+
+def contamination(snapshots: DataFrame, key: str, day: str, until, payload: Column) -> DataFrame:
+    """What days after ``until`` did to the newest state: day, rows it holds from that open day, and of these keys that no closed day has, with another and with the same payload."""
+    state = F.max_by(F.struct(F.col(day).alias("day"), payload.alias("now")), F.col(day))
+    closed = F.max_by(payload, F.when(F.col(day) <= F.lit(until), F.col(day)))
+    per = snapshots.groupBy(key).agg(state.alias("_s"), closed.alias("_closed"), F.min(day).alias("_first"))
+    late = F.col("_first") > F.lit(until)
+    same = F.col("_s.now").eqNullSafe(F.col("_closed"))
+    return per.where(F.col("_s.day") > F.lit(until)).groupBy(F.col("_s.day").alias(day)).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("only_open"), F.count_if(~late & ~same).alias("changed"), F.count_if(~late & same).alias("same")
+    )

@@ -102,14 +102,14 @@ def scd2_reappearance(r: Relations) -> DataFrame:
     return profile.reappearances(r.user_snapshots, "user_id", "day", ["kind"], ["events"]).withColumn("day", F.col("day").cast("string"))
 
 
-@query("scd2_change_attribution", "PR2 PR3 W8", f"""WITH {SQL_PART_SNAPSHOTS}, s AS (SELECT part_id, concat_ws('+', CASE WHEN flag IS DISTINCT FROM lag(flag) OVER w THEN 'flag' END, CASE WHEN status IS DISTINCT FROM lag(status) OVER w THEN 'status' END, CASE WHEN lines IS DISTINCT FROM lag(lines) OVER w THEN 'lines' END) AS signature,
+@query("scd2_change_attribution", "PR2 W8", f"""WITH {SQL_PART_SNAPSHOTS}, s AS (SELECT part_id, concat_ws('+', CASE WHEN flag IS DISTINCT FROM lag(flag) OVER w THEN 'flag' END, CASE WHEN status IS DISTINCT FROM lag(status) OVER w THEN 'status' END, CASE WHEN lines IS DISTINCT FROM lag(lines) OVER w THEN 'lines' END) AS signature,
   row_number() OVER w AS nth FROM psnap WINDOW w AS (PARTITION BY part_id ORDER BY snapshot))
 SELECT signature, count(*)::BIGINT AS changes, count(DISTINCT part_id)::BIGINT AS keys FROM s WHERE nth > 1 AND signature <> '' GROUP BY signature""")
 def scd2_change_attribution(r: Relations) -> DataFrame:
     return profile.change_signatures(r.part_snapshots, "part_id", "snapshot", ["flag", "status", "lines"])
 
 
-@query("snapshot_gap_ids", "PR1 PR4 W6", f"""WITH {SQL_USER_SNAPSHOTS}, {SQL_DAYS}
+@query("snapshot_gap_ids", "PR1 W6", f"""WITH {SQL_USER_SNAPSHOTS}, {SQL_DAYS}
 SELECT user_id, min(day)::VARCHAR AS first, max(day)::VARCHAR AS last, count(*)::BIGINT AS seen, (max(num) - min(num) + 1 - count(*))::BIGINT AS missed FROM usnap JOIN dr USING (day) GROUP BY user_id""")
 def snapshot_gap_ids(r: Relations) -> DataFrame:
     return profile.gaps(r.user_snapshots, "user_id", "day").select("user_id", text("first"), text("last"), "seen", "missed")
@@ -166,13 +166,27 @@ def change_point_days(r: Relations) -> DataFrame:
     return points.groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("versions")).orderBy(F.desc("versions"), "day").limit(10)
 
 
-@query("source_stability", "PR10 J8 PR7", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) - 7 AS d FROM usnap), s AS (SELECT DISTINCT user_id FROM usnap), f AS (SELECT user_id, min(day) AS first FROM usnap WHERE user_id % 5 <> 0 GROUP BY user_id)
+@query("source_stability", "PR10 J8", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) - 7 AS d FROM usnap), s AS (SELECT DISTINCT user_id FROM usnap), f AS (SELECT user_id, min(day) AS first FROM usnap WHERE user_id % 5 <> 0 GROUP BY user_id)
 SELECT count(*) FILTER (s.user_id IS NOT NULL AND f.user_id IS NULL) AS gone_from_raw, count(*) FILTER (first > d) AS only_later, count(*) FILTER (s.user_id IS NOT NULL AND f.user_id IS NOT NULL AND first <= d) AS covered FROM s FULL JOIN f USING (user_id), m""")
 def source_stability(r: Relations) -> DataFrame:
     until = last_days(r, 1)[0] - timedelta(days=7)
     return profile.coverage(r.user_snapshots, r.user_snapshots.where("user_id % 5 <> 0"), "user_id", "day", until)
 
 
+@query("attribute_profile", "PR3 PR4 W8 A4", f"""WITH {SQL_USER_SNAPSHOTS}, s AS (SELECT user_id, day = (SELECT max(day) FROM usnap) AS now, kind, events, lag(day) OVER w AS d0, lag(kind) OVER w AS k0, lag(events) OVER w AS e0 FROM usnap WINDOW w AS (PARTITION BY user_id ORDER BY day)),
+a AS (SELECT user_id, now, 'kind' AS attribute, kind AS value, d0 IS NOT NULL AND kind IS DISTINCT FROM k0 AS changed FROM s UNION ALL SELECT user_id, now, 'events', events::VARCHAR, d0 IS NOT NULL AND events IS DISTINCT FROM e0 FROM s)
+SELECT attribute, count(*) FILTER (now AND value IS NULL) AS nulls, count(DISTINCT value) FILTER (now) AS distincts, count(*) FILTER (changed) AS changes, count(DISTINCT user_id) FILTER (changed) AS keys FROM a GROUP BY attribute""")
+def attribute_profile(r: Relations) -> DataFrame:
+    return profile.attribute_profile(r.user_snapshots, "user_id", "day", ["kind", "events"])
+
+
+@query("open_day_contamination", "PR7", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) - 3 AS d FROM usnap), p AS (SELECT user_id, max(day) AS day, max_by(kind || '|' || events, day) AS now, max_by(kind || '|' || events, day) FILTER (day <= d) AS closed FROM usnap, m GROUP BY user_id)
+SELECT day::VARCHAR AS day, count(*) AS rows, count(*) FILTER (closed IS NULL) AS only_open, count(*) FILTER (closed <> now) AS changed, count(*) FILTER (closed = now) AS same FROM p, m WHERE day > d GROUP BY ALL""")
+def open_day_contamination(r: Relations) -> DataFrame:
+    until = last_days(r, 1)[0] - timedelta(days=3)
+    return profile.contamination(r.user_snapshots, "user_id", "day", until, hashed("kind", "events")).withColumn("day", F.col("day").cast("string"))
+
+
 @query("lag_percentiles", "PR8 PR9 A6", """WITH f AS (SELECT CAST(ts AS DATE) AS day, (event_id * 7 % 5)::INT AS lag FROM events)
 SELECT day::VARCHAR AS day, count(*)::BIGINT AS files, min(lag) AS min_lag, quantile_disc(lag, 0.5)::INT AS median_lag, max(lag) AS max_lag, count(*) FILTER (lag > 1) AS late_files FROM f GROUP BY day""")
 def lag_percentiles(r: Relations) -> DataFrame:
