@@ -180,9 +180,9 @@ def attribute_profile(r: Relations) -> DataFrame:
     return profile.attribute_profile(r.user_snapshots, "user_id", "day", ["kind", "events"])
 
 
-@query("open_day_contamination", "PR7", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) - 3 AS d FROM usnap), p AS (SELECT user_id, max(day) AS day, max_by(kind || '|' || events, day) AS now, max_by(kind || '|' || events, day) FILTER (day <= d) AS closed FROM usnap, m GROUP BY user_id)
+@query("contamination_by_open_days", "PR7", f"""WITH {SQL_USER_SNAPSHOTS}, m AS (SELECT max(day) - 3 AS d FROM usnap), p AS (SELECT user_id, max(day) AS day, max_by(kind || '|' || events, day) AS now, max_by(kind || '|' || events, day) FILTER (day <= d) AS closed FROM usnap, m GROUP BY user_id)
 SELECT day::VARCHAR AS day, count(*) AS rows, count(*) FILTER (closed IS NULL) AS only_open, count(*) FILTER (closed <> now) AS changed, count(*) FILTER (closed = now) AS same FROM p, m WHERE day > d GROUP BY ALL""")
-def open_day_contamination(r: Relations) -> DataFrame:
+def contamination_by_open_days(r: Relations) -> DataFrame:
     until = last_days(r, 1)[0] - timedelta(days=3)
     return profile.contamination(r.user_snapshots, "user_id", "day", until, hashed("kind", "events")).withColumn("day", F.col("day").cast("string"))
 
