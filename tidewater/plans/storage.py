@@ -156,7 +156,7 @@ def fact_cycle(r: Relations) -> DataFrame:
 
 @query("stream_windowed_counts", "2.12", """SELECT strftime(date_trunc('day', CAST(ts AS TIMESTAMP)), '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL""")
 def stream_windowed_counts(r: Relations) -> DataFrame:
-    """Daily counts from a stream with a watermark, available-now, against the batch answer."""
+    """Daily counts from a stream whose files come in any order, available-now, against the batch answer."""
     out = late_aware_counts(as_stream(r.spark, f"{r.sf_dir}/events.parquet", r.folder("in")), r.folder("counts"))
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
